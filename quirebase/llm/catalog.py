@@ -7,17 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quirebase.llm.leaks import find_leaks
+from quirebase.llm.packing import fill_report, pack
+from quirebase.llm.tokens import token_counts, token_totals
 from quirebase.session import load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return token_totals(docs, token_counts(docs), load(spark, sf_dir, "billing_state"))
+
+
+def p1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(load(spark, sf_dir, "documents"))
+
+
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(token_counts(load(spark, sf_dir, "documents")), load(spark, sf_dir, "pack_targets"))
+
+
+def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_report(p6_containers(spark, sf_dir))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "exam_items"))
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (p7_found,)}
+    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p6_containers, p6_fill, p7_found)}
 
 
 def oracle_sql() -> dict[str, str]:
