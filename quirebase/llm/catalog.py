@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quirebase.llm.leaks import find_leaks
+from quirebase.llm.mojibake import damaged_documents, restored_documents
 from quirebase.llm.packing import fill_report, pack
 from quirebase.llm.tokens import token_counts, token_totals
 from quirebase.session import load
@@ -35,8 +36,16 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "exam_items"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_documents(load(spark, sf_dir, "documents"))
+
+
+def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return restored_documents(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p6_containers, p6_fill, p7_found)}
+    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
