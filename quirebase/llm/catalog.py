@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quirebase.llm.leaks import find_leaks
 from quirebase.llm.mojibake import damaged_documents, restored_documents
+from quirebase.llm.neighbours import ForestParams, neighbour_rows, similar_pairs
 from quirebase.llm.packing import fill_report, pack
 from quirebase.llm.tokens import token_counts, token_totals
 from quirebase.session import load
@@ -24,6 +25,14 @@ def p1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(load(spark, sf_dir, "documents"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_pairs(load(spark, sf_dir, "chunk_vectors"), 0.70)
+
+
+def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_rows(load(spark, sf_dir, "chunk_vectors"), ForestParams(trees=4, probes=24.0)).selectExpr("vec_id", "neighbour", "round(similarity, 4) AS similarity")
+
+
 def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_counts(load(spark, sf_dir, "documents")), load(spark, sf_dir, "pack_targets"))
 
@@ -45,7 +54,7 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
+    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p3_found, p3_neighbours, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
