@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quirebase.llm.history import repeated_arrivals
 from quirebase.llm.leaks import find_leaks
 from quirebase.llm.mojibake import damaged_documents, restored_documents
 from quirebase.llm.neighbours import ForestParams, neighbour_rows, similar_pairs
@@ -33,6 +34,10 @@ def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_rows(load(spark, sf_dir, "chunk_vectors"), ForestParams(trees=4, probes=24.0)).selectExpr("vec_id", "neighbour", "round(similarity, 4) AS similarity")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_arrivals(load(spark, sf_dir, "intake"))
+
+
 def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_counts(load(spark, sf_dir, "documents")), load(spark, sf_dir, "pack_targets"))
 
@@ -54,7 +59,7 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p3_found, p3_neighbours, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
+    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p3_found, p3_neighbours, p4_found, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
