@@ -12,6 +12,7 @@ from quirebase.llm.mojibake import damaged_documents, restored_documents
 from quirebase.llm.neighbours import ForestParams, neighbour_rows, similar_pairs
 from quirebase.llm.packing import fill_report, pack
 from quirebase.llm.tokens import token_counts, token_totals
+from quirebase.llm.versions import VersionParams, version_groups, version_pairs
 from quirebase.session import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,21 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_arrivals(load(spark, sf_dir, "intake"))
 
 
+_VERSIONS = VersionParams(words=3, similarity=0.6)
+
+
+def _chunk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "chunks").select("metadata.chunk_hash", "text")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return version_pairs(_chunk_texts(spark, sf_dir), _VERSIONS).selectExpr("hash_a AS chunk_hash_a", "hash_b AS chunk_hash_b")
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return version_groups(_chunk_texts(spark, sf_dir), _VERSIONS)
+
+
 def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_counts(load(spark, sf_dir, "documents")), load(spark, sf_dir, "pack_targets"))
 
@@ -59,7 +75,7 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p3_found, p3_neighbours, p4_found, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
+    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p3_found, p3_neighbours, p4_found, p5_found, p5_groups, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
