@@ -11,6 +11,7 @@ from quirebase.llm.leaks import find_leaks
 from quirebase.llm.mojibake import damaged_documents, restored_documents
 from quirebase.llm.neighbours import ForestParams, neighbour_rows, similar_pairs
 from quirebase.llm.packing import fill_report, pack
+from quirebase.llm.scans import line_findings, paragraphs
 from quirebase.llm.tokens import token_counts, token_totals
 from quirebase.llm.versions import VersionParams, version_groups, version_pairs
 from quirebase.session import load
@@ -27,6 +28,14 @@ def p1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(load(spark, sf_dir, "documents"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_findings(load(spark, sf_dir, "scan_pages"))
+
+
+def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs(load(spark, sf_dir, "scan_pages"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_pairs(load(spark, sf_dir, "chunk_vectors"), 0.70)
 
@@ -75,7 +84,7 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p3_found, p3_neighbours, p4_found, p5_found, p5_groups, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
+    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p2_found, p2_paragraphs, p3_found, p3_neighbours, p4_found, p5_found, p5_groups, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
