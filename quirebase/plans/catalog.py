@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
+import pkgutil
 
-from pyspark.sql import DataFrame, SparkSession
+import quirebase.plans as plans
+from quirebase.plans.registry import QUERIES, SQL, Query
 
-Query = Callable[[SparkSession, str], DataFrame]
+for _module in pkgutil.iter_modules(plans.__path__):
+    if _module.name.startswith("q_"):
+        importlib.import_module(f"quirebase.plans.{_module.name}")
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
