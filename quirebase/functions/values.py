@@ -20,7 +20,7 @@ CONVERTED = (".docx", ".txt", ".ppt", ".pptx", ".odt")
 def human_bytes(n: Column) -> Column:
     """Bytes in the largest of B to TB that keeps the number at 1 or more, with a decimal from KB on."""
     f = n.cast("double")
-    shown = lambda k, unit: F.concat(F.format_string("%.1f", f / 1024**k), F.lit(f" {unit}"))
+    shown = lambda k, unit: F.concat(F.format_string("%.1f", F.bround(f / 1024**k, 1)), F.lit(f" {unit}"))
     return F.when(f < 1024, F.concat(n.cast("bigint").cast("string"), F.lit(" B"))).when(f < 1024**2, shown(1, "KB")).when(f < 1024**3, shown(2, "MB")).when(f < 1024**4, shown(3, "GB")).otherwise(shown(4, "TB"))
 
 
