@@ -36,6 +36,7 @@ BUCKETS = 1 << 21
 _TOKEN = re.compile(r"[^ \t\n\r\f\v]+")
 _ESCAPED = re.compile(r"&(#\d+|#x[0-9a-fA-F]+|[A-Za-z]+\d*);|%[0-9A-Fa-f]{2}|\\u[0-9a-fA-F]{4}")
 _DIGITS = re.compile(r"\d")
+_LOST_COST = 8.0
 _MIDDLE_CAPITAL = re.compile("(?<=[a-zß-öø-ÿа-яё])[À-ÖØ-ÞА-ЯЁ]")
 
 
@@ -44,6 +45,7 @@ class SearchParams:
     step_cost: float = 1.0  # nats a step must earn
     margin: float = 2.0  # nats by which the restored text must be cheaper
     slack: float = 2.0  # nats by which a state may be dearer than the one before
+    strict_slack: float = 60.0  # the same after a step that read UTF-8
     depth: int = 4  # layers of damage
     share: float = 0.02  # of a token's count that its one-byte misreadings may reach, from ``seldom`` on
     seldom: int = 5
@@ -91,9 +93,13 @@ class CharModel:
         return -math.log(max(three, 1e-12))
 
     def cost(self, token: str, most: float = math.inf) -> float:
-        """Implausibility of a token; infinite as soon as it is seen to exceed ``most``."""
+        """Implausibility of a token; infinite as soon as it is seen to exceed ``most``.
+
+        What only a failed decoding leaves costs extra in the end, but may
+        stand in a text on the way.
+        """
         shape, known = _shape(token), self.known
-        total = 8.0 * len(LOST.findall(token)) + 8.0 * len(_MIDDLE_CAPITAL.findall(token)) - 0.5 * math.log1p(self.count("5" + shape))
+        total = 8.0 * len(_MIDDLE_CAPITAL.findall(token)) - 0.5 * math.log1p(self.count("5" + shape))
         for k in range(2, len(shape)):
             gram = shape[k - 2 : k + 1]
             c = known.get(gram)
@@ -137,8 +143,9 @@ class Graph:
                         pass
         return False
 
-    def neighbours(self, text: str) -> set[str]:
-        found = set()
+    def neighbours(self, text: str) -> dict[str, bool]:
+        """Texts a step away, and whether the step read UTF-8, which few texts allow by chance."""
+        found: dict[str, bool] = {}
         tried = set()
         for read_as in READ_AS:
             table, run = self.tables[read_as], self.runs[read_as]
@@ -157,36 +164,38 @@ class Graph:
                     except UnicodeDecodeError:
                         new.append(before)
                     new.append(after)
-                found.add("".join(new))
+                other = "".join(new)
+                found[other] = found.get(other, False) or written_in == "utf-8"
         if _ESCAPED.search(text):
-            found.add(html.unescape(text))
-            found.add(urllib.parse.unquote(text))
-            found.add(re.sub(r"\\u([0-9a-fA-F]{4})", lambda m: chr(int(m.group(1), 16)), text))
-        found.discard(text)
+            unicode_escape = re.sub(r"\\u([0-9a-fA-F]{4})", lambda m: chr(int(m.group(1), 16)), text)
+            for other in (html.unescape(text), urllib.parse.unquote(text), unicode_escape):
+                found.setdefault(other, False)
+        found.pop(text, None)
         return found
 
 
 def restore(token: str, model: CharModel, graph: Graph, params: SearchParams = SearchParams()) -> str:
     """The cheapest text reachable from ``token``; itself unless another is cheaper by the margin."""
-    start = model.cost(token)
+    plausible = model.cost(token)
+    start = plausible + _LOST_COST * len(LOST.findall(token))
     best, best_cost = token, start
     seen = {hash(token)}
-    heap = [(start, 0, token, start)]
+    heap = [(plausible, 0, token, plausible)]
     while heap:
         _, depth, text, plain = heapq.heappop(heap)
         if depth == params.depth:
             continue
-        for other in graph.neighbours(text):
+        for other, strict in graph.neighbours(text).items():
             key = hash(other)
             if key in seen:
                 continue
             seen.add(key)
-            cost = model.cost(other, plain + params.slack)
+            cost = model.cost(other, plain + (params.strict_slack if strict else params.slack))
             if cost == math.inf:
                 continue
             total = cost + params.step_cost * (depth + 1)
-            if total < best_cost:
-                best, best_cost = other, total
+            if (whole := total + _LOST_COST * len(LOST.findall(other))) < best_cost:
+                best, best_cost = other, whole
             heapq.heappush(heap, (total, depth + 1, other, cost))
     if best_cost >= start - params.margin:
         return token

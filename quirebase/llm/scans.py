@@ -56,6 +56,7 @@ class ScanParams:
     dearest: float = 0.9  # cost of a repair, at most
     longest: int = 40  # letters of a word that is looked up
     pages: int = 512  # of one file that are compared for running lines at a time
+    running: int = 200  # characters of a running line, at most; a longer line is text
 
 
 def _skeleton(line: str) -> str:
@@ -304,7 +305,7 @@ def analyse(pages: DataFrame, params: ScanParams = ScanParams()) -> Repairs:
     lines = materialise(lines, f"{base}/lines")
     extent = lines.groupBy(*page).agg(F.min("line_no").alias("first"), F.max("line_no").alias("last"))
     width = lines.groupBy("file_hash").agg(F.expr("percentile_approx(length(line), 0.9)").alias("width"))
-    edges = lines.join(extent, page).where("line_no in (first, last)").join(width, "file_hash").select(*page, "line_no", "line", (F.col("line_no") == F.col("first")).alias("top"), "width", F.lit(0).alias("after"), F.floor(F.col("page_no") / params.pages).alias("stretch"))
+    edges = lines.join(extent, page).where((F.col("line_no") == F.col("first")) | (F.col("line_no") == F.col("last"))).where(F.length("line") <= params.running).join(width, "file_hash").select(*page, "line_no", "line", (F.col("line_no") == F.col("first")).alias("top"), "width", F.lit(0).alias("after"), F.floor(F.col("page_no") / params.pages).alias("stretch"))
     furniture = materialise(edges.groupBy("file_hash", "stretch").applyInArrow(_furniture, "file_hash string, page_no int, line_no int"), f"{base}/furniture")
     order = Window.partitionBy("file_hash").orderBy("page_no", "line_no")
     body = lines.join(furniture, [*page, "line_no"], "left_anti").withColumn("before", F.lag("line").over(order)).withColumn("after", F.lead("line").over(order))
