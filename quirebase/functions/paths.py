@@ -9,6 +9,7 @@ from quirebase.functions.text import strip
 
 #: Spellings of semesters.
 SEMESTERS = {"1": "1", "2": "2", "FIRST": "1", "SECOND": "2", "SEM1": "1", "SEM2": "2", "SEMESTER1": "1", "SEMESTER2": "2"}
+#: What a course's code and number look like, in a folder's or a file's name.
 _COURSE = r"([A-Za-z]{2,})\s*[-_ ]*\s*(\d{2,3})"
 _COURSE_WITH_APOSTROPHE = r"([A-Za-z]+(?:'[A-Za-z]*)?[A-Za-z]*)\s*[-_ ]*\s*(\d{2,3})"
 

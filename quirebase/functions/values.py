@@ -15,6 +15,8 @@ DEPARTMENT_CODES = {
 #: Suffixes of files that are deleted, and that are converted.
 DELETED = (".m", ".matcad", ".htm", ".html", ".mp3", ".mp4", ".aac", ".ogg", ".mat", ".tmp", ".dthumb", ".eml", ".ods", ".xlsx", ".xls")
 CONVERTED = (".docx", ".txt", ".ppt", ".pptx", ".odt")
+#: Fixed value: a size with its unit.
+SIZE = r"(?i)\b([0-9]+(?:\.[0-9]+)?)([BKMG])\b"
 
 
 def human_bytes(n: Column) -> Column:
@@ -26,10 +28,9 @@ def human_bytes(n: Column) -> Column:
 
 def parse_size(text: Column) -> Column:
     """Bytes of the first number with a unit B, K, M or G; null without one."""
-    pattern = r"(?i)\b([0-9]+(?:\.[0-9]+)?)([BKMG])\b"
-    unit = F.upper(F.regexp_extract(text, pattern, 2))
+    unit = F.upper(F.regexp_extract(text, SIZE, 2))
     factor = F.when(unit == "B", 1.0).when(unit == "K", 1024.0).when(unit == "M", 1024.0**2).when(unit == "G", 1024.0**3)
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).cast("double") * factor
+    return F.nullif(F.regexp_extract(text, SIZE, 1), F.lit("")).cast("double") * factor
 
 
 def reduction_percent(before: Column, after: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,21 +37,33 @@ def mark_repeats(chunks: DataFrame) -> DataFrame:
 def budget_batches(items: DataFrame, key: str, order: str, weight: str, budget: int) -> DataFrame:
     """(key, batch, weight) of greedy batches in order; an item above the budget is a batch alone.
 
-    The fold runs over one array of weights for each key.
+    Each key's items pass in order through one task, which keeps the open
+    batch only: a key may have any number of items. A null key is a key.
     """
-    start = F.struct(F.array().cast("array<bigint>").alias("done"), F.lit(None).cast("bigint").alias("open"))
-
-    def step(acc: Column, w: Column) -> Column:
-        full = F.struct(F.array_append(acc["done"], acc["open"]).alias("done"), w.alias("open"))
-        return (
-            F.when(acc["open"].isNull(), F.struct(acc["done"].alias("done"), w.alias("open")))
-            .when(acc["open"] + w > budget, full)
-            .otherwise(F.struct(acc["done"].alias("done"), (acc["open"] + w).alias("open")))
-        )
-
-    lists = items.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(weight).cast("bigint").alias("w")))).alias("xs"))
-    folded = F.aggregate(F.transform("xs", lambda x: x["w"]), start, step, lambda a: F.when(a["open"].isNull(), a["done"]).otherwise(F.array_append(a["done"], a["open"])))
-    return lists.select(key, F.posexplode(folded).alias("batch", weight))
+
+    def fold(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, number, total, started = None, 0, 0, False
+        for part in parts:
+            out: list[tuple] = []
+            for k, w in zip(part.column("k").to_pylist(), part.column("w").to_pylist()):
+                if started and k == now and total + w <= budget:
+                    total += w
+                    continue
+                if started:
+                    out.append((now, number, total))
+                number, now, total, started = (number + 1 if started and k == now else 0), k, w, True
+            yield _batch_rows(out)
+        if started:
+            yield _batch_rows([(now, number, total)])
+
+    rows = items.select(F.col(key).cast("string").alias("k"), F.col(order).alias("o"), F.col(weight).cast("bigint").alias("w")).where("w is not null")
+    folded = rows.repartition("k").sortWithinPartitions("k", "o", "w").mapInArrow(fold, "k string, batch bigint, w bigint")
+    return folded.select(F.col("k").alias(key), "batch", F.col("w").alias(weight))
+
+
+def _batch_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())], ["k", "batch", "w"])
 
 
 def duplicate_groups(items: DataFrame, content: Column, name: str) -> DataFrame:

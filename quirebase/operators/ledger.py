@@ -60,6 +60,6 @@ def to_process(found: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def after_mark(files: DataFrame, mark: str) -> DataFrame:
     """Files after a path in the order of path parts; all of them if the mark isn't one of them."""
-    known = files.where(F.col("path") == F.lit(mark)).agg((F.count("*") > 0).alias("_known"))
-    parts = F.split("path", "/")
-    return files.join(F.broadcast(known), how="left").where(~F.col("_known") | (parts > F.split(F.lit(mark), "/"))).drop("_known")
+    if not files.where(F.col("path") == F.lit(mark)).limit(1).count():
+        return files
+    return files.where(F.split("path", "/") > F.split(F.lit(mark), "/"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirebase.functions.values import fit_vector
 from quirebase.operators import retrieval as R
+from quirebase.operators.ordering import number_rows
 from quirebase.plans.registry import query
 from quirebase.session import load
 
@@ -89,6 +90,6 @@ SELECT collection, CAST(page AS BIGINT) AS page, count(*) AS rows, min(vec_id) A
 """)
 def collection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of a thousand rows in order of id, in each collection."""
-    w = Window.partitionBy(F.coalesce("collection", F.lit(""))).orderBy("vec_id")
-    p = load(spark, sf_dir, "chunk_vectors").select("vec_id", F.coalesce("collection", F.lit("")).alias("collection"), F.floor((F.row_number().over(w) - 1) / 1000).cast("bigint").alias("page"))
+    rows = load(spark, sf_dir, "chunk_vectors").select("vec_id", F.coalesce("collection", F.lit("")).alias("collection"))
+    p = number_rows(rows, ["collection"], ["vec_id"]).select("vec_id", "collection", F.floor((F.col("place") - 1) / 1000).cast("bigint").alias("page"))
     return p.groupBy("collection", "page").agg(F.count("*").alias("rows"), F.min("vec_id").alias("first"), F.max("vec_id").alias("last"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirebase.functions import text as X
 from quirebase.operators import dedupe
+from quirebase.operators.ordering import number_rows
 from quirebase.plans.registry import query
 from quirebase.session import load
 
@@ -241,5 +242,5 @@ SELECT doc_id, CAST((row_number() OVER (PARTITION BY coalesce(source, '') ORDER
 """)
 def fixed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of 96 documents within each source."""
-    order = Window.partitionBy(F.coalesce("source", F.lit(""))).orderBy("doc_id")
-    return load(spark, sf_dir, "documents").select("doc_id", F.floor((F.row_number().over(order) - 1) / 96).cast("bigint").alias("batch_no"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
+    return number_rows(docs, ["source"], ["doc_id"]).select("doc_id", F.floor((F.col("place") - 1) / 96).cast("bigint").alias("batch_no"))

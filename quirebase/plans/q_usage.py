@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirebase.functions.values import RATE_LIMITS, model_family
 from quirebase.operators import usage as U
+from quirebase.operators.ordering import number_rows
 from quirebase.plans.registry import query
 from quirebase.session import load
 
@@ -67,8 +68,8 @@ SELECT event_id, CAST((row_number() OVER (PARTITION BY event_type ORDER BY ts, e
 """)
 def round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests of each model dealt to seven keys in turn."""
-    w = Window.partitionBy("event_type").orderBy("ts", "event_id")
-    return load(spark, sf_dir, "events").select("event_id", F.pmod(F.row_number().over(w) - 1, F.lit(7)).cast("bigint").alias("slot"))
+    events = load(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    return number_rows(events, ["event_type"], ["ts", "event_id"]).select("event_id", F.pmod(F.col("place") - 1, F.lit(7)).cast("bigint").alias("slot"))
 
 
 _ENTRIES = """entries AS (SELECT event_id, user_id, event_type AS tag, epoch_us(ts) / 1000000.0 AS created_at, CASE WHEN event_type = 'error' THEN NULL ELSE 86400.0 * (1 + user_id % 20) END AS ttl, (SELECT max(epoch_us(ts)) / 1000000.0 FROM events) AS now FROM events)"""
@@ -77,9 +78,9 @@ _ENTRIES = """entries AS (SELECT event_id, user_id, event_type AS tag, epoch_us(
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as cache entries; the last event is now."""
     e = load(spark, sf_dir, "events").withColumn("created_at", F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
-    now = e.agg(F.max("created_at").alias("now"))
+    now = e.agg(F.max("created_at")).first()[0]
     ttl = F.when(F.col("event_type") != "error", F.lit(86400.0) * (1 + F.col("user_id") % 20))
-    return e.join(F.broadcast(now), how="left").select("event_id", "user_id", F.col("event_type").alias("tag"), "created_at", ttl.alias("ttl"), "now")
+    return e.select("event_id", "user_id", F.col("event_type").alias("tag"), "created_at", ttl.alias("ttl"), F.lit(now).cast("double").alias("now"))
 
 
 @query(f"WITH {_ENTRIES} SELECT event_id FROM entries WHERE coalesce(now - created_at > ttl, false)")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,17 +37,10 @@ def discoverable(path: Column, suffixes: tuple[str, ...] = (".pdf",), prune: boo
 
 
 def with_place(files: DataFrame) -> DataFrame:
-    """``place`` of each path in the order of its parts.
+    """``place`` of each path in the order of its parts, counted from 1."""
+    from quirebase.operators.ordering import number_rows
 
-    The global order is a range partitioning; each row's place is its place in
-    the partition plus the rows of the partitions before, so no task holds all.
-    """
-    ranged = files.withColumn("_parts", F.split("path", "/")).repartitionByRange("_parts").sortWithinPartitions("_parts")
-    numbered = ranged.withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    counts = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    before = counts.select("_part", F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
-    return numbered.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn("place", (F.coalesce("_before", F.lit(0)) + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("bigint")).drop("_parts", "_id", "_part", "_before")
+    return number_rows(files, [], [F.split("path", "/")])
 
 
 def scan_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".pdf",), prune: bool = True, most: int | None = None, content: bool = False) -> DataFrame:

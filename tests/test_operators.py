@@ -198,3 +198,16 @@ def test_page_class_and_everytag(spark):
     assert tuple(row) == ("image", "printed", "handwriting")
     tags = spark.createDataFrame([(1, "x", None), (2, "y", True), (3, None, False)], "id int, tag string, everytag boolean")
     assert {r.id for r in retrieval.tagged(tags, "tag", "x").collect()} == {1, 2}
+
+
+def test_numbers_of_a_hot_key(spark):
+    from quirebase.operators.ordering import number_rows
+
+    rows = [("hot" if k % 3 else None if k % 2 else f"k{k % 5}", k % 50, k) for k in range(2000)]
+    table = spark.createDataFrame(rows, "key string, ts int, id int").repartition(7)
+    got = {r.id: r.place for r in number_rows(table, ["key"], ["ts", "id"]).collect()}
+    counts: dict = {}
+    for key, ts, k in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        counts[key] = counts.get(key, 0) + 1
+        assert got[k] == counts[key]
+    assert number_rows(table.where("false"), ["key"], ["id"]).count() == 0
