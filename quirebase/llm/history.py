@@ -56,10 +56,11 @@ class History:
     hot: DataFrame | None = None
     written: int = 0
 
-    def _write(self, df: DataFrame, name: str, by: str) -> str:
+    def _write(self, df: DataFrame, name: str, by: str, order: list[str]) -> str:
+        """A run: its files hold whole ranges in order, so that the ranges a reader wants are few row groups."""
         where = f"{self.path}/{name}-{self.written:06d}"
         self.written += 1
-        df.write.partitionBy(by).parquet(where)
+        df.repartition(by).sortWithinPartitions(by, *order).write.parquet(where)
         return where
 
     def _read(self, where: list[str], by: str, values: list[int], schema: str) -> DataFrame:
@@ -123,25 +124,24 @@ class History:
         if found is not None:
             repeats = found.select("arrival_id").distinct()
             fresh, mine = records.join(repeats, "arrival_id", "left_anti"), chunks.join(repeats, "arrival_id", "left_anti")
-        self.runs.append(self._write(fresh.select("range", "key", "chunks", "arrival_id").repartition("range").sortWithinPartitions("range", "key", "chunks"), "run", "range"))
-        self.sets.append(self._write(mine.select("arrival_id", "chunk", (F.col("arrival_id") % self.params.ranges).cast("int").alias("part")).repartition("part").sortWithinPartitions("part", "arrival_id"), "set", "part"))
+        self.runs.append(self._write(fresh.select("range", "key", "chunks", "arrival_id"), "run", "range", ["key", "chunks"]))
+        self.sets.append(self._write(mine.select("arrival_id", "chunk", (F.col("arrival_id") % self.params.ranges).cast("int").alias("part")), "set", "part", ["arrival_id"]))
         if len(self.runs) > self.params.compact_every:
             self.compact()
         return found if found is not None else self.spark.createDataFrame([], "accepted_id bigint, arrival_id bigint")
 
     def compact(self) -> None:
         """Merge all live runs into one, sorted within each key range."""
-        everything = list(range(self.params.ranges))
         records = None
         for w in self.runs:
-            part = self.spark.read.schema("key bigint, chunks bigint, arrival_id bigint, range int").parquet(w).where(F.col("range").isin(everything))
+            part = self.spark.read.schema("key bigint, chunks bigint, arrival_id bigint, range int").parquet(w)
             records = part if records is None else records.unionByName(part)
         sets = None
         for w in self.sets:
             part = self.spark.read.schema("arrival_id bigint, chunk bigint, part int").parquet(w)
             sets = part if sets is None else sets.unionByName(part)
-        self.runs = [self._write(records.repartition("range").sortWithinPartitions("range", "key", "chunks"), "run", "range")]
-        self.sets = [self._write(sets.repartition("part").sortWithinPartitions("part", "arrival_id"), "set", "part")]
+        self.runs = [self._write(records, "run", "range", ["key", "chunks"])]
+        self.sets = [self._write(sets, "set", "part", ["arrival_id"])]
 
 
 def repeated_arrivals(intake: DataFrame, params: HistoryParams = HistoryParams()) -> DataFrame:
