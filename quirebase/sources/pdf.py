@@ -25,6 +25,13 @@ def read_with_pypdf(path: str) -> Iterator[tuple[str, int]]:
         yield page.extract_text() or "", len(page.images)
 
 
+def read_text_pages(path: str) -> Iterator[tuple[str, int]]:
+    """Pages of a text file that form feeds divide, as converters of PDF files write it."""
+    with open(path, encoding="utf-8", errors="replace") as lines:
+        for page in lines.read().split("\f"):
+            yield page, 0
+
+
 class _File(InputPartition):
     def __init__(self, path: str):
         self.path = path

@@ -211,3 +211,15 @@ def test_numbers_of_a_hot_key(spark):
         counts[key] = counts.get(key, 0) + 1
         assert got[k] == counts[key]
     assert number_rows(table.where("false"), ["key"], ["id"]).count() == 0
+
+
+def test_pdf_source_in_spark(spark, tmp_path):
+    from quirebase.sources.pdf import PdfPages
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("one\ftwo")
+    (tmp_path / "b.txt").write_text("")
+    spark.dataSource.register(PdfPages)
+    pages = spark.read.format("pdf_pages").option("suffix", ".txt").option("extractor", "quirebase.sources.pdf:read_text_pages").load(str(tmp_path))
+    rows = sorted((r.path.rsplit("/", 1)[1], r.page_no, r.text) for r in pages.collect())
+    assert rows == [("a.txt", 1, "one"), ("a.txt", 2, "two"), ("b.txt", 1, "")]
