@@ -78,13 +78,14 @@ def with_overlap(chunks: Column, overlap: int = 80) -> Column:
     if overlap <= 0:
         return chunks
 
-    def add(chunk: Column, at: Column) -> Column:
-        before = F.get(chunks, at - 1)
+    def add(every: Column, chunk: Column, at: Column) -> Column:
+        before = F.get(every, at - 1)
         tail = F.right(before, F.lit(overlap))
         space = F.instr(tail, " ")
         return F.when(at == 0, chunk).otherwise(F.concat(F.when(space > 1, F.substring(tail, space + 1, F.lit(overlap))).otherwise(tail), F.lit(" "), chunk))
 
-    return F.transform(chunks, add)
+    # bound to a variable, the chunks are made once and not for each of them
+    return F.get(F.transform(F.array(chunks), lambda every: F.transform(every, lambda chunk, at: add(every, chunk, at))), F.lit(0))
 
 
 def chunk(parts: Column, least: int = 200, most: int = 1600, overlap: int = 80) -> Column:
