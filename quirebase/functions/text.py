@@ -20,6 +20,9 @@ DOCUMENT_TYPES = (
     (r"\b(project|report)\b", "project"),
     (r"\bpq\b", "exam"),
 )
+#: The same patterns with the word boundary spelt out (a word is of letters, digits and ``_`` of any script),
+#: since ``\b`` beyond ASCII differs between regular-expression engines.
+DOCUMENT_TYPES_ANY_SCRIPT = tuple((r"(^|[^\p{L}\p{N}_])" + pattern.removeprefix(r"\b").removesuffix(r"\b") + r"([^\p{L}\p{N}_]|$)", name) for pattern, name in DOCUMENT_TYPES)
 ENGLISH = ("the", "and", "or", "but", "of", "with", "for", "to")
 #: Fixed value: sentences with these phrases are dropped from generated text.
 MUTTERING = r"(?i)\b(let\s+me|let's|assume|apologies|re-?calculate|recheck)\b"
@@ -127,10 +130,10 @@ def token_estimate(text: Column) -> Column:
 
 
 def document_type(text: Column) -> Column:
-    """The first type whose pattern occurs; null if none does."""
+    """The first type whose pattern occurs, in a text of any script; null if none does."""
     low = F.lower(text)
-    out = F.when(low.rlike(DOCUMENT_TYPES[0][0]), DOCUMENT_TYPES[0][1])
-    for pattern, name in DOCUMENT_TYPES[1:]:
+    out = F.when(low.rlike(DOCUMENT_TYPES_ANY_SCRIPT[0][0]), DOCUMENT_TYPES_ANY_SCRIPT[0][1])
+    for pattern, name in DOCUMENT_TYPES_ANY_SCRIPT[1:]:
         out = out.when(low.rlike(pattern), name)
     return out
 

@@ -76,8 +76,23 @@ m AS (SELECT t.doc_id, t.file_hash, nullif({sql_strip("split_part(t.text, chr(10
 z AS (SELECT doc_id, group_key, department, document_type, CAST({" + ".join(f"CASE WHEN {f} THEN 10 ELSE 0 END" for f in _FLAGS)} AS DOUBLE) / {10 * len(_FLAGS)} * 100 AS completeness FROM m)"""
 
 
-def _completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").where(F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
+_TYPES_ANY_SCRIPT = " ".join(f"WHEN regexp_matches(lower(t.text), '{p}') THEN '{n}'" for p, n in X.DOCUMENT_TYPES_ANY_SCRIPT)
+_METADATA_ALL_TEXTS = f"""{_EXTENDED},
+m AS (SELECT t.doc_id, t.file_hash, nullif({sql_strip("split_part(t.text, chr(10), 1)")}, '') AS title, t.n_chars, x.department, x.course_code, x.level, x.semester, x.group_key,
+  CASE {_TYPES_ANY_SCRIPT} END AS document_type
+  FROM documents t LEFT JOIN x ON t.path = x.path WHERE t.text IS NOT NULL),
+z AS (SELECT doc_id, group_key, department, document_type, CAST({" + ".join(f"CASE WHEN {f} THEN 10 ELSE 0 END" for f in _FLAGS)} AS DOUBLE) / {10 * len(_FLAGS)} * 100 AS completeness FROM m)"""
+
+
+def _ascii_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "documents").where(F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
+
+
+def _all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "documents").where("text is not null")
+
+
+def _completeness(docs: DataFrame) -> DataFrame:
     meta = docs.select("doc_id", "file_hash", F.nullif(X.strip(F.split_part("text", F.lit("\n"), F.lit(1))), F.lit("")).alias("title"), "n_chars", X.document_type(F.col("text")).alias("document_type"), *P.extended_metadata(F.col("path")), F.col("path").isNull().alias("pathless"))
     known = {c: F.when(~F.col("pathless"), F.col(c)) for c in ("department", "course_code", "level", "semester", "group_key")}
     flags = [F.col("file_hash").isNotNull(), F.col("title").isNotNull(), *(known[c].isNotNull() for c in ("department", "course_code", "level", "semester")), F.col("n_chars") > 0, F.col("document_type").isNotNull()]
@@ -85,10 +100,20 @@ def _completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return meta.select("doc_id", known["group_key"].alias("group_key"), known["department"].alias("department"), "document_type", score.alias("completeness"))
 
 
+def _summary(z: DataFrame) -> DataFrame:
+    return z.groupBy(F.coalesce("department", F.lit("")).alias("department"), F.coalesce("document_type", F.lit("")).alias("document_type")).agg(F.count("*").alias("documents"), F.round(F.avg("completeness"), 6).alias("completeness"))
+
+
 @query(f"WITH {_METADATA} SELECT * FROM z")
 def metadata_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full metadata of ASCII documents with the share of eight flags that hold."""
-    return _completeness(spark, sf_dir)
+    """Metadata of ASCII documents with the share of eight flags that hold, as its SQL has it; see ``metadata_completeness_all_texts``."""
+    return _completeness(_ascii_documents(spark, sf_dir))
+
+
+@query(f"WITH {_METADATA_ALL_TEXTS} SELECT * FROM z")
+def metadata_completeness_all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of every document with a text, with the share of eight flags that hold."""
+    return _completeness(_all_documents(spark, sf_dir))
 
 
 @query(f"""
@@ -96,8 +121,15 @@ WITH {_METADATA}
 SELECT coalesce(department, '') AS department, coalesce(document_type, '') AS document_type, count(*) AS documents, round(avg(completeness), 6) AS completeness FROM z GROUP BY 1, 2
 """)
 def metadata_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = _completeness(spark, sf_dir)
-    return z.groupBy(F.coalesce("department", F.lit("")).alias("department"), F.coalesce("document_type", F.lit("")).alias("document_type")).agg(F.count("*").alias("documents"), F.round(F.avg("completeness"), 6).alias("completeness"))
+    return _summary(_completeness(_ascii_documents(spark, sf_dir)))
+
+
+@query(f"""
+WITH {_METADATA_ALL_TEXTS}
+SELECT coalesce(department, '') AS department, coalesce(document_type, '') AS document_type, count(*) AS documents, round(avg(completeness), 6) AS completeness FROM z GROUP BY 1, 2
+""")
+def metadata_summary_all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary(_completeness(_all_documents(spark, sf_dir)))
 
 
 _LIST = lambda xs: ", ".join(f"'{x}'" for x in xs)

@@ -158,10 +158,19 @@ _TYPES_SQL = " ".join(f"WHEN regexp_matches(lower(text), '{p}') THEN '{t}'" for
 
 @query(f"SELECT doc_id, CASE {_TYPES_SQL} END AS document_type FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '^[\\x00-\\x7F]*$')")
 def document_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type by keyword of ASCII texts (word boundaries beyond ASCII differ between regular-expression engines)."""
+    """Type by keyword of ASCII texts, as its SQL has it; ``document_type_all_texts`` reads every text."""
     return load(spark, sf_dir, "documents").where(F.col("text").rlike(r"\A[\x00-\x7F]*\z")).select("doc_id", X.document_type(F.col("text")).alias("document_type"))
 
 
+_TYPES_ANY_SCRIPT_SQL = " ".join(f"WHEN regexp_matches(lower(text), '{p}') THEN '{t}'" for p, t in X.DOCUMENT_TYPES_ANY_SCRIPT)
+
+
+@query(f"SELECT doc_id, CASE {_TYPES_ANY_SCRIPT_SQL} END AS document_type FROM documents WHERE text IS NOT NULL")
+def document_type_all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type by keyword of every text, whatever its script."""
+    return load(spark, sf_dir, "documents").where("text is not null").select("doc_id", X.document_type(F.col("text")).alias("document_type"))
+
+
 @query(f"""
 SELECT doc_id, CAST(length(regexp_replace(coalesce(text, ''), '{WS}+', '', 'g')) AS INTEGER) AS effective_chars,
   CASE WHEN length(regexp_replace(coalesce(text, ''), '{WS}+', '', 'g')) = 0 THEN 'empty_text'

@@ -89,3 +89,24 @@ def test_muttering_and_snapshot(spark):
     assert column(spark, ["Let me see. It is 4! We recalculate now. Done", None], X.drop_muttering(F.col("text"))) == ["It is 4! Done", None]
     assert column(spark, ["a\n b" * 200, None], X.snapshot(F.col("text")))[0][-1] == "…"
     assert column(spark, ["a\n----- PAGE BREAK ---\nb"], X.drop_page_breaks(F.col("text"))) == ["a\n\nb"]
+
+
+def test_document_type_in_any_script(spark):
+    texts = ["été — lecture", "“exam” à Noël", "Это test.", "quiz\n", "électure", "lectureé", "тестlab", "book漢", "x_test", "数 PQ 学", "ſ notes", "naïve", "", None]
+    patterns = [(re.compile(p), t) for p, t in X.DOCUMENT_TYPES]
+    wanted = [None if t is None else next((n for p, n in patterns if p.search(t.lower())), None) for t in texts]
+    assert wanted[:5] == ["lecture", "exam", "exam", "exam", None]
+    assert column(spark, texts, X.document_type(F.col("text"))) == wanted
+
+
+def test_all_texts_are_typed_and_counted(spark, tmp_path):
+    from quirebase.plans import catalog
+
+    rows = [(1, "Été: lecture", 12, "/a/GLG/400/1/GLG 401/x.pdf", "h"), (2, "plain exam", 10, None, None), (3, "урок", 4, "/b", "g"), (4, None, None, "/c", "k")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, path string, file_hash string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: catalog.queries()[name](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.document_type for r in run("document_type_all_texts")} == {1: "lecture", 2: "exam", 3: None}
+    scores = {r.doc_id: r.completeness for r in run("metadata_completeness_all_texts")}
+    assert scores == {1: 100.0, 2: 37.5, 3: 37.5}
+    assert sum(r.documents for r in run("metadata_summary_all_texts")) == 3
