@@ -264,26 +264,40 @@ def version_pairs(texts: DataFrame, params: VersionParams = VersionParams()) ->
     return ordered.mapInArrow(_verify(params), "hash_a string, hash_b string, similarity double").distinct()
 
 
+def component_names(both: DataFrame, base: str) -> DataFrame:
+    """(node, name): each linked node with the least node of its component.
+
+    ``both``: node and other, each link in both directions. In a round a node
+    hears the names of its neighbours, the node it is named by is handed the
+    least name that any of its members heard, and each name is replaced by its
+    own name. A state that changes ends only in an error, never as a result.
+    """
+    names = materialise(both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("name")), f"{base}/names0")
+    for step in range(1, 257):
+        heard = materialise(both.join(names.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("name").alias("name")), f"{base}/heard{step}")
+        handed = heard.join(names.withColumnRenamed("name", "root"), "node").groupBy(F.col("root").alias("node")).agg(F.min("name").alias("name"))
+        told = materialise(names.unionByName(heard).unionByName(handed).groupBy("node").agg(F.min("name").alias("name")), f"{base}/told{step}")
+        jumped = told.select("node", F.col("name").alias("via")).join(told.select(F.col("node").alias("via"), "name"), "via").select("node", "name")
+        after = materialise(told.unionByName(jumped).groupBy("node").agg(F.min("name").alias("name")), f"{base}/names{step}")
+        changed = after.join(names.withColumnRenamed("name", "before"), "node").where("name <> before").limit(1).count()
+        names = after
+        if not changed:
+            return names
+    raise RuntimeError("groups of versions still change after 256 rounds")
+
+
 def version_groups(texts: DataFrame, params: VersionParams = VersionParams()) -> DataFrame:
     """(chunk_hash, group, links): each hash with its group of versions, named by the group's least hash.
 
-    Links join into groups by passing the least known hash along them, with a
-    step to the name's own name in each round, until nothing changes. A hash
-    without versions is a group of its own with no link.
+    Links join into groups by passing the least known hash along them, as
+    ``component_names`` does, until nothing changes. A hash without versions is
+    a group of its own with no link.
     """
     spark = texts.sparkSession
     base = scratch_dir(spark)
     pairs = materialise(version_pairs(texts, params), f"{base}/pairs")
     both = materialise(pairs.select(F.col("hash_a").alias("node"), F.col("hash_b").alias("other")).unionByName(pairs.select(F.col("hash_b").alias("node"), F.col("hash_a").alias("other"))), f"{base}/links")
-    names = materialise(both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("name")), f"{base}/names0")
-    for step in range(1, 64):
-        heard = both.join(names.withColumnRenamed("node", "other"), "other").select("node", "name")
-        jumped = names.select("node", F.col("name").alias("via")).join(names.select(F.col("node").alias("via"), "name"), "via").select("node", "name")
-        after = materialise(names.unionByName(heard).unionByName(jumped).groupBy("node").agg(F.min("name").alias("name")), f"{base}/names{step}")
-        changed = after.join(names.withColumnRenamed("name", "before"), "node").where("name <> before").limit(1).count()
-        names = after
-        if not changed:
-            break
+    names = component_names(both, base)
     links = both.groupBy("node").agg(F.count("*").alias("links"))
     every = texts.select("chunk_hash").where("chunk_hash is not null").distinct()
     named = names.join(links, "node").withColumnRenamed("node", "chunk_hash")

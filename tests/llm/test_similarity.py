@@ -100,6 +100,14 @@ def test_versions(spark, words, similarity, hot):
         assert sum(n for _, n in group.values()) == 2 * len(wanted)
 
 
+def test_a_long_chain_of_versions_is_one_group(spark):
+    hashes = [f"h{k:03}" for k in range(300)]
+    random.Random(0).shuffle(hashes)
+    rows = [(h, " ".join(f"w{2 * k + i}" for i in range(12))) for k, h in enumerate(hashes)]
+    out = {r.chunk_hash: (r.group, r.links) for r in version_groups(spark.createDataFrame(rows, "chunk_hash string, text string"), VersionParams(3, 0.6)).collect()}
+    assert out == {h: ("h000", 1 if k in (0, 299) else 2) for k, h in enumerate(hashes)}
+
+
 def test_no_versions(spark):
     assert version_pairs(spark.createDataFrame([], "chunk_hash string, text string")).count() == 0
 
