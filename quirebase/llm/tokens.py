@@ -233,9 +233,10 @@ def clean_language(lang: F.Column) -> F.Column:
 
 
 def clean_path(path: F.Column) -> F.Column:
-    """One notation of a path: forward slashes, none doubled, no ``file:`` scheme or ``.`` steps, no blanks around."""
+    """One notation of a path: forward slashes, none doubled, no drive letter, ``file:`` scheme or ``.`` steps, no blanks around."""
     p = F.regexp_replace(F.trim(path), r"\\", "/")
     p = F.regexp_replace(p, r"^file:/+", "/")
+    p = F.regexp_replace(p, r"^/?[A-Za-z]:/", "/")
     return F.regexp_replace(F.regexp_replace(p, r"/(\./)+", "/"), r"/{2,}", "/")
 
 

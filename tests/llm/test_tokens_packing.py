@@ -47,6 +47,21 @@ def test_totals_have_one_name_for_a_slice(spark):
     assert out["all", "all", "all"] == (3, 12, 6) and out["lab_manual", "en", "all"] == (2, 12, 6) and out["unknown", "unknown", "unknown"] == (1, 0, 0)
 
 
+def test_every_notation_of_a_path_is_one(spark):
+    plain = "/data/archive/GLG/400/x.pdf"
+    notations = [plain, r"C:\data\archive\GLG\400\x.pdf", "c:/data/archive/GLG/400/x.pdf", "file:///data/archive/GLG/400/x.pdf", "file:///C:/data/archive/GLG/400/x.pdf", " /data//archive/./GLG/400/x.pdf "]
+    rows = spark.createDataFrame([(n,) for n in notations], "file string").select(tokens.clean_path("file").alias("path")).collect()
+    assert [r.path for r in rows] == [plain] * len(notations)
+
+
+def test_bills_without_a_document_only_stay_unmatched(spark, small):
+    clean = lambda name, column: spark.read.parquet(f"{small}/{name}.parquet").where(f"{column} is not null").select(tokens.clean_path(column).alias("cleaned"), column)
+    bills, docs = clean("billing_state", "file").distinct(), clean("documents", "path").select("cleaned").distinct()
+    unmatched = [r.file for r in bills.join(docs, "cleaned", "left_anti").collect()]
+    assert bills.where(r"file rlike '^[A-Za-z]:'").count() > 0
+    assert not [f for f in unmatched if not f.startswith("/data/")]
+
+
 @pytest.mark.parametrize("per_task", [10_000, 40])
 def test_packing(spark, per_task):
     random.seed(5)
