@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirebase.operators.dedupe import upsert
-
 
 def write_records(records: DataFrame, path: str, by_group: bool = False, mode: str = "overwrite") -> None:
     """Vector records as JSON lines; a null embedding leaves its key out.
@@ -35,7 +33,8 @@ def write_csv(records: DataFrame, keys: tuple[str, ...], path: str) -> None:
 def upsert_table(arriving: DataFrame, path: str, key: str, version: str) -> DataFrame:
     """Merge rows into a table of snapshots ``path``/v=N by key: the last version of each key of both sides stays.
 
-    The new snapshot is written beside the old one and read from then on.
+    Of equal versions the arriving one stays. The new snapshot is written beside
+    the old one and read from then on.
     """
     from quirebase.operators.dedupe import latest
 
@@ -45,7 +44,12 @@ def upsert_table(arriving: DataFrame, path: str, key: str, version: str) -> Data
     where = jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     done = sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(where) if s.getPath().getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))) if fs.exists(where) else []
-    merged = upsert(spark.read.parquet(f"{path}/v={done[-1]}"), fresh, key) if done else fresh
+    if done:
+        stored = spark.read.parquet(f"{path}/v={done[-1]}").withColumn("_came", F.lit(0))
+        both = stored.unionByName(fresh.withColumn("_came", F.lit(1)), allowMissingColumns=True)
+        merged = latest(both, [key], [F.desc(version), F.desc("_came")]).drop("_came")
+    else:
+        merged = fresh
     merged.write.mode("overwrite").parquet(f"{path}/v={(done[-1] if done else 0) + 1}")
     return spark.read.parquet(f"{path}/v={(done[-1] if done else 0) + 1}")
 

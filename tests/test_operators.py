@@ -64,6 +64,22 @@ def test_upsert_table_keeps_the_last_version(spark, tmp_path):
     assert sorted(map(tuple, table.collect())) == [(1, 1), (2, 4), (3, 1)]
 
 
+def test_upsert_table_keeps_a_higher_version_that_came_before(spark, tmp_path):
+    for rows in ([(1, 5, "a"), (2, 1, "b")], [(1, 4, "c"), (2, 1, "d"), (3, 1, "e")], [(1, 2, "f"), (3, 2, "g")]):
+        table = sinks.upsert_table(spark.createDataFrame(rows, "id int, version int, text string"), f"{tmp_path}/t", "id", "version")
+    assert sorted(map(tuple, table.collect())) == [(1, 5, "a"), (2, 1, "d"), (3, 2, "g")]
+
+
+def test_stream_upsert_of_files_in_any_order(spark, tmp_path):
+    from quirebase.plans import catalog
+
+    files_of = [[(9, "a"), (2, "b")], [(3, "a"), (5, "b")], [(4, "c"), (7, "a")]]
+    for rows in files_of:
+        spark.createDataFrame([(v, i, [1.0, 2.0]) for v, i in rows], "vec_id long, id string, embedding array<float>").coalesce(1).write.mode("append").parquet(f"{tmp_path}/chunk_vectors.parquet")
+    out = catalog.queries()["stream_vector_upsert"](spark, str(tmp_path)).collect()
+    assert {r.id: r.vec_id for r in out} == {"a": 9, "b": 5, "c": 4}
+
+
 def test_reports_and_records(spark, tmp_path):
     a, b = spark.createDataFrame([(1, "x")], "n int, file string"), spark.createDataFrame([(2.5,)], "gain double")
     assert sinks.union_reports([a, b]).columns == ["file", "gain", "n"]
