@@ -49,6 +49,7 @@ class SearchParams:
     depth: int = 4  # layers of damage
     share: float = 0.02  # of a token's count that its one-byte misreadings may reach, from ``seldom`` on
     seldom: int = 5
+    together: int = 3  # distinct tokens of a document that one misreading must explain to show a commoner one
 
 
 def _shape(token: str) -> str:
@@ -173,9 +174,29 @@ class Graph:
         found.pop(text, None)
         return found
 
+    def misreadings(self, text: str, original: str) -> list[str]:
+        """The pairs of encodings by which ``original`` reads as ``text`` in one step."""
+        pairs = []
+        for read_as in READ_AS:
+            table, run = self.tables[read_as], self.runs[read_as]
+            for written_in in WRITTEN_IN:
+                if read_as == written_in:
+                    continue
+                try:
+                    other = run.sub(lambda r: bytes(map(table.__getitem__, r.group())).decode(written_in), text)
+                except UnicodeDecodeError:
+                    continue
+                if other == original:
+                    pairs.append(f"{read_as} {written_in}")
+        return pairs
+
 
-def restore(token: str, model: CharModel, graph: Graph, params: SearchParams = SearchParams()) -> str:
-    """The cheapest text reachable from ``token``; itself unless another is cheaper by the margin."""
+def restore(token: str, model: CharModel, graph: Graph, params: SearchParams = SearchParams()) -> tuple[str, bool]:
+    """The cheapest text reachable from ``token``, itself unless another is cheaper by the margin; and whether that is in doubt.
+
+    Any byte is a letter somewhere, so a common token isn't damage just because
+    a more common one is near: other tokens of its document must confirm it.
+    """
     plausible = model.cost(token)
     start = plausible + _LOST_COST * len(LOST.findall(token))
     best, best_cost = token, start
@@ -198,11 +219,9 @@ def restore(token: str, model: CharModel, graph: Graph, params: SearchParams = S
                 best, best_cost = other, whole
             heapq.heappush(heap, (total, depth + 1, other, cost))
     if best_cost >= start - params.margin:
-        return token
+        return token, False
     often = model.count("5" + _shape(token))
-    if often >= params.seldom and often > params.share * model.count("5" + _shape(best)) and not graph.strict(token):
-        return token  # any byte is a letter somewhere, so a common token isn't damage just because a more common one is near
-    return best
+    return best, often >= params.seldom and often > params.share * model.count("5" + _shape(best)) and not graph.strict(token)
 
 
 def _tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,17 +260,16 @@ def _search(counts, params: SearchParams):
         model, graph = CharModel(counts.value), Graph()
         for batch in batches:
             tokens = batch.column("token").to_pylist()
-            restored = [restore(t, model, graph, params) for t in tokens]
-            changed = [k for k, (t, r) in enumerate(zip(tokens, restored)) if t != r or LOST.search(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([tokens[k] for k in changed], pa.string()), pa.array([restored[k] for k in changed], pa.string())], ["token", "restored"])
+            changed = [(t, r, doubt) for t, (r, doubt) in ((t, restore(t, model, graph, params)) for t in tokens) if t != r or LOST.search(t)]
+            columns = [[t for t, _, _ in changed], [r for _, r, _ in changed], [d for _, _, d in changed], [bool(LOST.search(t)) for t, _, _ in changed], [graph.misreadings(t, r) if t != r else [] for t, r, _ in changed]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string())))], ["token", "restored", "doubt", "lost", "misreadings"])
 
     return search
 
 
 @dataclass(frozen=True)
 class Damage:
-    documents: DataFrame  # doc_id, tokens: array of the distinct tokens beyond ASCII
-    repairs: DataFrame  # token, restored
+    repairs: DataFrame  # doc_id, token, restored
 
 
 def find_damage(docs: DataFrame, params: SearchParams = SearchParams()) -> Damage:
@@ -259,7 +277,9 @@ def find_damage(docs: DataFrame, params: SearchParams = SearchParams()) -> Damag
 
     ``docs`` needs doc_id and text. Null, empty and pure ASCII texts hold none.
     A token is damaged if another text is cheaper than it by the margin, or if
-    it has characters that only a failed decoding leaves.
+    it has characters that only a failed decoding leaves. A common token is so
+    only in documents where several distinct tokens have the same misreading,
+    which doesn't depend on the size of the corpus.
     """
     spark = docs.sparkSession
     base = scratch_dir(spark)
@@ -271,14 +291,21 @@ def find_damage(docs: DataFrame, params: SearchParams = SearchParams()) -> Damag
     if grams.num_rows:
         counts[grams.column("bucket").to_numpy()] = grams.column("times").to_numpy()
     shared = spark.sparkContext.broadcast(counts)
-    repairs = vocabulary.select("token").repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(_search(shared, params), "token string, restored string")
-    return Damage(documents, materialise(repairs, f"{base}/repairs"))
+    repairs = vocabulary.select("token").repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(_search(shared, params), "token string, restored string, doubt boolean, lost boolean, misreadings array<string>")
+    hits = materialise(documents.select("doc_id", F.explode("tokens").alias("token")).join(materialise(repairs, f"{base}/repairs"), "token"), f"{base}/hits")
+    doubtful = hits.where("doubt").select("doc_id", "token", F.explode("misreadings").alias("misreading"))
+    seen = hits.join(doubtful.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "token", F.explode("misreadings").alias("misreading"))
+    shown = seen.groupBy("doc_id", "misreading").agg(F.count_distinct("token").alias("tokens")).where(F.col("tokens") >= params.together)
+    proven = doubtful.join(shown, ["doc_id", "misreading"], "left_semi").select("doc_id", "token").distinct().withColumn("proven", F.lit(True))
+    held = ~F.col("doubt") | F.coalesce("proven", F.lit(False))
+    kept = hits.join(proven, ["doc_id", "token"], "left").where(held | F.col("lost"))
+    return Damage(kept.select("doc_id", "token", F.when(held, F.col("restored")).otherwise(F.col("token")).alias("restored")))
 
 
 def damaged_documents(docs: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
     """doc_id of every document with a damaged token, once each."""
     damage = find_damage(docs, params)
-    return damage.documents.select("doc_id", F.explode("tokens").alias("token")).join(damage.repairs, "token").select("doc_id").distinct()
+    return damage.repairs.select("doc_id").distinct()
 
 
 def restored_documents(docs: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
@@ -289,10 +316,7 @@ def restored_documents(docs: DataFrame, params: SearchParams = SearchParams()) -
     ``lost`` those that still have characters no step brings back.
     """
     damage = find_damage(docs, params)
-    lists = (
-        damage.documents.select("doc_id", F.explode("tokens").alias("token")).join(damage.repairs, "token")
-        .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("token", "restored"))).alias("repairs"))
-    )
+    lists = damage.repairs.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("token", "restored"))).alias("repairs"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

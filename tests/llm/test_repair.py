@@ -70,3 +70,12 @@ def test_damage(spark):
     assert out[1000].restored == SENTENCES[0] and out[1001].restored == SENTENCES[1] and out[1002].restored == SENTENCES[4] and out[1003].restored == SENTENCES[3]
     assert out[1004].restored == "plain then " + SENTENCES[0] and out[1005].lost == 1 and out[1006].restored == "la théorie est"
     assert mojibake.damaged_documents(table.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("times", [1, 10])
+def test_one_misreading_of_many_documents(spark, times):
+    clean = [(k, SENTENCES[k % len(SENTENCES)]) for k in range(300 * times)]
+    bad = [(10_000 + k, damaged(SENTENCES[3], "koi8_r", "cp1251")) for k in range(4 * times)]
+    table = spark.createDataFrame(clean + bad, "doc_id long, text string")
+    assert {r.doc_id for r in mojibake.damaged_documents(table).collect()} == {i for i, _ in bad}
+    assert {r.restored for r in mojibake.restored_documents(table).collect()} == {SENTENCES[3]}
