@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_given: list[str] = []  # scratch folders not released yet
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "quirebase", **conf: str) -> SparkSession:
     """A session with the settings that results depend on (UTC) and AQE on."""
@@ -41,7 +43,60 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.environ.get("QUIREBASE_SCRATCH") or tempfile.mkdtemp(prefix="spark-quirebase-")
-    return f"{base.rstrip('/')}/quirebase-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/quirebase-{uuid.uuid4().hex}"
+    _given.append(folder)
+    return folder
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the scratch folders given out so far; their number.
+
+    Results that weren't read or written elsewhere yet are lost with them, so
+    it is the caller who knows when.
+    """
+    done = len(_given)
+    while _given:
+        remove(spark, _given.pop())
+    return done
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a path in whatever file system it names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens where there is none."""
+    fs, where = hadoop_path(spark, path)
+    fs.delete(where, True)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file at once: it is there whole or not at all."""
+    fs, where = hadoop_path(spark, path)
+    _, part = hadoop_path(spark, f"{path}.part-{uuid.uuid4().hex}")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, where):
+        raise OSError(f"{path} can't be written")
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """What a small file holds."""
+    fs, where = hadoop_path(spark, path)
+    source = fs.open(where)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none where there is no such folder."""
+    fs, where = hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
