@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("quirebase.llm")
 from quirebase.llm.history import History, HistoryParams, arrivals, chunk_rows, repeated_arrivals  # noqa: E402
@@ -162,6 +163,43 @@ def test_history_is_incremental(spark, tmp_path):
     assert repeated_arrivals(first.where("false")).count() == 0
 
 
+def test_history_goes_on_in_another_session(spark, tmp_path):
+    rows = intake(3)
+    table = spark.createDataFrame(rows, "arrival_id long, batch_no int, file_hash string, chunk_hash string")
+    path, params = str(tmp_path / "h"), HistoryParams(compact_every=2, rows_per_range=50)
+    for batch in sorted({r[1] for r in rows}):
+        session = spark.newSession()
+        history = History(session, path, params) if batch == 0 else History.open(session, path)
+        part = table.where(F.col("batch_no") == batch)
+        history.ingest(arrivals(part).drop("batch_no"), chunk_rows(part), batch)
+    assert History.open(spark, path).params == params and len(history.runs) < len(history.batches)
+    again = History.open(spark, path)
+    again.ingest(arrivals(part).drop("batch_no"), chunk_rows(part), batch)
+    assert again.written == history.written
+    assert {(min(r), max(r)) for r in map(tuple, again.pairs().collect())} == brute_history(rows)
+
+
+def test_a_batch_reads_ranges_of_its_keys_alone(spark, tmp_path):
+    def ranges(files):
+        stock = spark.range(files).selectExpr("id AS arrival_id", "0 AS batch_no", "cast(null AS string) AS file_hash", "explode(sequence(1, 4)) AS k").selectExpr("*", "concat(arrival_id, '-', k) AS chunk_hash")
+        history = History(spark, str(tmp_path / f"h{files}"), HistoryParams(rows_per_range=100))
+        history.ingest(arrivals(stock).drop("batch_no"), chunk_rows(stock))
+        batch = stock.where("arrival_id in (7, 9)").withColumn("arrival_id", F.col("arrival_id") + 1_000_000)
+        found = history.ingest(arrivals(batch).drop("batch_no"), chunk_rows(batch))
+        assert {tuple(r) for r in found.collect()} == {(7, 1_000_007), (9, 1_000_009)}
+        return history.ranges_read, 2 ** history.runs[0]["bits"]
+
+    few, some = ranges(300)
+    still_few, many = ranges(2_400)
+    assert many >= 8 * some and still_few <= few + 2 and still_few <= 6
+
+
+def test_hot_chunks_of_small_files(spark):
+    rows = [(a, 0 if a < 60 else 1, None, c) for a in range(90) for c in (["hot"] if a % 30 == 0 else ["hot", f"own{a}"] if a % 2 else ["hot", "warm", f"own{a}"])]
+    table = spark.createDataFrame(rows, "arrival_id long, batch_no int, file_hash string, chunk_hash string")
+    assert {tuple(r) for r in repeated_arrivals(table).collect()} == brute_history(rows)
+
+
 def leak_tables(spark, docs, items):
     d = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item_id int")
     return d, spark.createDataFrame([(i, q, e, "x") for i, q, e in items], "item_id long, question string, explanation string, text string")
