@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quirebase.llm.history import repeated_arrivals
-from quirebase.llm.leaks import find_leaks
+from quirebase.llm.leaks import LeakParams, find_leaks, near_leaks
 from quirebase.llm.mojibake import damaged_documents, restored_documents
 from quirebase.llm.neighbours import ForestParams, neighbour_rows, similar_pairs
 from quirebase.llm.packing import fill_report, pack
@@ -75,6 +75,16 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "exam_items"))
 
 
+def p7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that one inserted, deleted or replaced word tells from ten words of an item."""
+    return near_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "exam_items"), params=LeakParams(max_edits=1))
+
+
+def p7_near_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that at most two such edits tell from twenty words of an item."""
+    return near_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "exam_items"), params=LeakParams(window=20, max_edits=2))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return damaged_documents(load(spark, sf_dir, "documents"))
 
@@ -84,7 +94,7 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p2_found, p2_paragraphs, p3_found, p3_neighbours, p4_found, p5_found, p5_groups, p6_containers, p6_fill, p7_found, p8_found, p8_restored)}
+    return {q.__name__: q for q in (p1_token_totals, p1_token_counts, p2_found, p2_paragraphs, p3_found, p3_neighbours, p4_found, p5_found, p5_groups, p6_containers, p6_fill, p7_found, p7_near, p7_near_long, p8_found, p8_restored)}
 
 
 #: SQL of the queries that it can express; the others are tested against brute force.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("quirebase.llm")
 from quirebase.llm.history import History, HistoryParams, arrivals, chunk_rows, repeated_arrivals  # noqa: E402
-from quirebase.llm.leaks import LeakParams, find_leaks  # noqa: E402
+from quirebase.llm.leaks import LeakParams, edits_within, find_leaks, near_leaks  # noqa: E402
 from quirebase.llm.neighbours import ForestParams, decode, encode, neighbour_rows, similar_pairs  # noqa: E402
 from quirebase.llm.versions import VersionParams, version_groups, version_pairs  # noqa: E402
 from quirebase.llm.words import words_of  # noqa: E402
@@ -238,3 +238,36 @@ def test_leaks_with_edits(spark):
         docs.append((k, " ".join(f"d{random.randint(0, 5000)}" for _ in range(20)) + " " + " ".join(w) + " tail"))
     got = {(r.doc_id, r.item_id) for r in find_leaks(*leak_tables(spark, docs, items), params=LeakParams(max_edits=1)).collect()}
     assert len(got & {(k, k) for k in range(150)}) >= 0.95 * 150 and all(a == b for a, b in got)
+
+
+@pytest.mark.parametrize("most", [1, 2])
+def test_recall_of_each_kind_of_edit(spark, most):
+    random.seed(most)
+    fresh = lambda: f"w{random.randint(0, 10**9)}"
+    items = [(k, " ".join(fresh() for _ in range(10)), None) for k in range(600)]
+    docs, kind_of = [], {}
+    for k, q, _ in items:
+        w, kind_of[k] = q.split(), ("replace", "insert", "delete")[k % 3]
+        for _ in range(most):
+            at = random.randrange(len(w))
+            w[at : at + (kind_of[k] != "insert")] = [] if kind_of[k] == "delete" else [fresh()]
+        docs.append((k, " ".join([fresh() for _ in range(random.randint(0, 5))] + w + [fresh() for _ in range(k % 4)])))
+    found = near_leaks(*leak_tables(spark, docs, items), params=LeakParams(max_edits=most)).collect()
+    assert all(r.doc_id == r.item_id and r.edits <= most for r in found)
+    for kind in ("replace", "insert", "delete"):
+        mine = [k for k in kind_of if kind_of[k] == kind]
+        assert len({r.doc_id for r in found} & set(mine)) >= 0.93 * len(mine), kind
+
+
+def test_a_full_filter_changes_no_result(spark):
+    items = [(k, " ".join(f"a{k}b{i}" for i in range(12)), None) for k in range(50)]
+    tables = leak_tables(spark, [(k, f"x {q} y") for k, q, _ in items], items)
+    assert {tuple(r) for r in find_leaks(*tables, params=LeakParams(filter_bits=6)).collect()} == {(k, k) for k in range(50)}
+
+
+def test_edits_of_a_beginning():
+    row = lambda words, width: np.array([[ord(w) for w in words.split()] + [0] * (width - len(words.split()))], np.uint64)
+    count = lambda passage: edits_within(row("a b c d e", 5), row(passage, 7))[0]
+    assert count("a b c d e x y") == 0
+    assert count("a b d e x y") == count("a b x c d e") == count("a x c d e z") == 1
+    assert count("") == 5 and count("a b c") == 2
