@@ -59,21 +59,21 @@ def lines(text: Column) -> Column:
 
 
 def _fold(parts: Column, joins, glue: str) -> Column:
-    """Greedy merge of neighbours: (finished list, open buffer) over the parts."""
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("string").alias("open"))
+    """Greedy merge of neighbours: (finished list, open buffer) over the parts; ``joins`` compares lengths, which are carried along."""
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("string").alias("open"), F.lit(0).alias("n"))
 
     def step(acc: Column, part: Column) -> Column:
-        more = F.struct(acc["out"].alias("out"), F.concat(acc["open"], F.lit(glue), part).alias("open"))
-        fresh = F.struct(F.array_append(acc["out"], acc["open"]).alias("out"), part.alias("open"))
-        first = F.struct(acc["out"].alias("out"), part.alias("open"))
-        return F.when(acc["open"].isNull(), first).when(joins(acc["open"], part), more).otherwise(fresh)
+        more = F.struct(acc["out"].alias("out"), F.concat(acc["open"], F.lit(glue), part).alias("open"), (acc["n"] + len(glue) + F.length(part)).alias("n"))
+        fresh = F.struct(F.array_append(acc["out"], acc["open"]).alias("out"), part.alias("open"), F.length(part).alias("n"))
+        first = F.struct(acc["out"].alias("out"), part.alias("open"), F.length(part).alias("n"))
+        return F.when(acc["open"].isNull(), first).when(joins(acc["n"], F.length(part)), more).otherwise(fresh)
 
     return F.aggregate(parts, start, step, lambda a: F.when(a["open"].isNull(), a["out"]).otherwise(F.array_append(a["out"], a["open"])))
 
 
 def merge_paragraphs(parts: Column, least: int = 200, most: int = 1600) -> Column:
     """Neighbours join while the buffer is short or the sum fits; one part alone may exceed ``most``."""
-    return _fold(parts, lambda open_, part: (F.length(open_) < least) | (F.length(open_) + 2 + F.length(part) <= most), "\n\n")
+    return _fold(parts, lambda held, new: (held < least) | (held + 2 + new <= most), "\n\n")
 
 
 def with_overlap(chunks: Column, overlap: int = 80) -> Column:
@@ -102,26 +102,33 @@ def drop_page_breaks(text: Column) -> Column:
 
 def chunk_by_characters(text: Column, most: int = 1000) -> Column:
     """Paragraphs joined while the buffer, with a blank line after each, and the next stay below ``most``."""
-    return _fold(paragraphs(drop_page_breaks(text)), lambda open_, part: F.length(open_) + 2 + F.length(part) < most, "\n\n")
+    return _fold(paragraphs(drop_page_breaks(text)), lambda held, new: held + 2 + new < most, "\n\n")
 
 
 def chunk_by_words(parts: Column, most: int = 300, overlap: int = 50, least: int = 20, full_overlap_only: bool = False) -> Column:
-    """Parts joined up to ``most`` words; each new chunk repeats the last words of the one before; short chunks go."""
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("string").alias("open"))
+    """Parts joined up to ``most`` words; each new chunk repeats the last words of the one before; short chunks go.
+
+    Every part is divided into words once. The open chunk carries their number
+    and its last words, so that nothing is divided again.
+    """
+    start = F.struct(
+        F.array().cast("array<struct<text:string,n:int>>").alias("out"), F.lit(None).cast("string").alias("open"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("tail")
+    )
+    last = lambda ws: F.slice(ws, F.greatest(F.size(ws) - overlap + 1, F.lit(1)), F.lit(overlap))
+    state = lambda out, text, n, tail: F.struct(out.alias("out"), text.alias("open"), n.cast("int").alias("n"), tail.alias("tail"))
+    done = lambda acc: F.array_append(acc["out"], F.struct(acc["open"].alias("text"), acc["n"].alias("n")))
 
     def step(acc: Column, part: Column) -> Column:
-        held = words(acc["open"])
-        fits = F.size(held) + F.size(words(part)) <= most
-        tail = F.concat(F.array_join(F.slice(held, F.greatest(F.size(held) - overlap + 1, F.lit(1)), F.lit(overlap)), " "), F.lit("\n\n"), part)
-        again = F.when(F.size(held) >= overlap, tail).otherwise(part) if full_overlap_only else tail
-        return (
-            F.when(acc["open"].isNull(), F.struct(acc["out"].alias("out"), part.alias("open")))
-            .when(fits, F.struct(acc["out"].alias("out"), F.concat(acc["open"], F.lit("\n\n"), part).alias("open")))
-            .otherwise(F.struct(F.array_append(acc["out"], acc["open"]).alias("out"), again.alias("open")))
-        )
+        text, ws = part["text"], part["words"]
+        more = state(acc["out"], F.concat(acc["open"], F.lit("\n\n"), text), acc["n"] + F.size(ws), last(F.concat(acc["tail"], ws)))
+        again = state(done(acc), F.concat(F.array_join(acc["tail"], " "), F.lit("\n\n"), text), F.size(acc["tail"]) + F.size(ws), last(F.concat(acc["tail"], ws)))
+        alone = state(done(acc), text, F.size(ws), last(ws))
+        fresh = F.when(acc["n"] >= overlap, again).otherwise(alone) if full_overlap_only else again
+        return F.when(acc["open"].isNull(), state(acc["out"], text, F.size(ws), last(ws))).when(acc["n"] + F.size(ws) <= most, more).otherwise(fresh)
 
-    merged = F.aggregate(parts, start, step, lambda a: F.when(a["open"].isNull(), a["out"]).otherwise(F.array_append(a["out"], a["open"])))
-    return F.filter(merged, lambda c: word_count(c) >= least)
+    divided = F.transform(parts, lambda p: F.struct(p.alias("text"), words(p).alias("words")))
+    merged = F.aggregate(divided, start, step, lambda a: F.when(a["open"].isNull(), a["out"]).otherwise(done(a)))
+    return F.transform(F.filter(merged, lambda c: c["n"] >= least), lambda c: c["text"])
 
 
 def token_estimate(text: Column) -> Column:
@@ -145,15 +152,21 @@ def language_flag(text: Column) -> Column:
     return F.when(found >= 3, "english").otherwise("unknown")
 
 
-def sentences(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "[.!?]+"), lambda s: effective_length(s) > 0)
+def sentence_count(text: Column) -> Column:
+    """Parts between stops with anything but white space in them."""
+    inside = NOT_SPACE.replace("[^", "[^.!?", 1)
+    return F.coalesce(F.regexp_count(text, F.lit(rf"[^.!?]*?{inside}[^.!?]*")), F.lit(0))
 
 
-def readability(text: Column) -> Column:
+def readability_of(n_words: Column, n_letters: Column, n_sentences: Column) -> Column:
     """100 less half the words a sentence and twice the letters a word, within 0 and 100; null without words."""
-    n = word_count(text)
-    score = F.lit(100.0) - (n / F.size(sentences(text)) * 0.5 + effective_length(text) / n * 2.0)
-    return F.when((n > 0) & (F.size(sentences(text)) > 0), F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)))
+    score = F.lit(100.0) - (n_words / n_sentences * 0.5 + n_letters / n_words * 2.0)
+    return F.when((n_words > 0) & (n_sentences > 0), F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)))
+
+
+def readability(text: Column) -> Column:
+    """``readability_of`` a text; where the counts are columns of their own anyway, they serve better."""
+    return readability_of(word_count(text), effective_length(text), sentence_count(text))
 
 
 def drop_muttering(text: Column) -> Column:

@@ -69,14 +69,14 @@ def page_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {_PAGES},
 l AS (SELECT file_hash, page_no, unnest(string_split(text, chr(10))) AS text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS seq FROM pg),
-b AS (SELECT *, CAST((seq * 37) % 101 AS DOUBLE) AS cx, CAST((seq * 53) % 97 AS DOUBLE) AS cy, ((seq * 7) % 10) / 10.0 AS conf FROM l)
+b AS (SELECT *, CAST((seq * 37) % 101 AS DOUBLE) AS cx, CAST((seq * 53) % 97 AS DOUBLE) AS cy FROM l)
 SELECT file_hash, page_no, count(*) AS pieces, md5(string_agg(text, chr(10) ORDER BY round_even(cy / 16, 0), round_even(cx / 16, 0), seq)) AS content
-FROM b WHERE text <> '' AND conf >= 0.35 GROUP BY 1, 2
+FROM b WHERE text <> '' GROUP BY 1, 2
 """)
 def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines at scattered places put in reading order, doubtful ones left out."""
+    """Lines at scattered places put in reading order; these have no confidence, so that none is doubtful."""
     lines = G.distinct_pages(_pages(spark, sf_dir)).select("file_hash", "page_no", F.posexplode(F.split("text", "\n")).alias("at", "text")).withColumn("seq", F.col("at") + 1)
-    placed = lines.select("*", ((F.col("seq") * 37) % 101).cast("double").alias("cx"), ((F.col("seq") * 53) % 97).cast("double").alias("cy"), (((F.col("seq") * 7) % 10) / 10.0).alias("conf"))
+    placed = lines.select("*", ((F.col("seq") * 37) % 101).cast("double").alias("cx"), ((F.col("seq") * 53) % 97).cast("double").alias("cy"), F.lit(1.0).alias("conf"))
     return G.reading_order(placed, ["file_hash", "page_no"]).select("file_hash", "page_no", "pieces", F.md5("text").alias("content"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quirebase.functions import paths as P
 from quirebase.functions import text as X
 from quirebase.functions.values import CONVERTED, DELETED, file_action, suffix
+from quirebase.operators import metadata as M
 from quirebase.plans.q_text import WS, sql_strip
 from quirebase.plans.registry import query
 from quirebase.session import load
@@ -67,32 +68,53 @@ def extended_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _paths(spark, sf_dir).select("path", *P.extended_metadata(F.col("path")))
 
 
-_TYPES = " ".join(f"WHEN regexp_matches(lower(t.text), '{p}') THEN '{n}'" for p, n in X.DOCUMENT_TYPES)
+_TYPES = " ".join(f"WHEN regexp_matches(lower(t.text), '{p}') THEN '{n}'" for p, n in X.DOCUMENT_TYPES_ANY_SCRIPT)
+_FOUR = ["x.department IS NOT NULL", "x.course_code IS NOT NULL", "x.level IS NOT NULL", "x.semester IS NOT NULL"]
+_TEN = ["t.file_hash IS NOT NULL", "false", "false", "false", *_FOUR, "coalesce(t.n_chars, 0) > 0", f"(CASE {_TYPES} END) IS NOT NULL"]
+_RECORD = f"""{_EXTENDED},
+z AS (SELECT t.doc_id, t.path AS file_path, list_filter(string_split(t.path, '/'), lambda p: p <> '')[-1] AS file_name, t.file_hash, CAST(NULL AS VARCHAR) AS pdf_title, CAST(NULL AS VARCHAR) AS pdf_creation_date,
+  CAST(NULL AS VARCHAR) AS pdf_modification_date, 0 AS page_count, coalesce(t.n_chars, 0) AS total_characters, len(list_filter(string_split_regex(coalesce(t.text, ''), '{WS}+'), lambda w: w <> '')) AS word_count,
+  CASE WHEN t.text IS NULL THEN NULL WHEN {" + ".join(f"CASE WHEN contains(lower(t.text), ' {w} ') THEN 1 ELSE 0 END" for w in X.ENGLISH)} >= 3 THEN 'english' ELSE 'unknown' END AS language,
+  x.department, x.course_code, x.course_number, x.level, x.semester, x.category, x.group_key, CASE {_TYPES} END AS document_type, t.extracted_at AS extraction_timestamp,
+  CAST({" + ".join(f"CASE WHEN {f} THEN 1 ELSE 0 END" for f in _TEN)} AS DOUBLE) * 10 AS completeness
+  FROM documents t LEFT JOIN x ON t.path = x.path)"""
 _FLAGS = ["file_hash IS NOT NULL", "title IS NOT NULL", "department IS NOT NULL", "course_code IS NOT NULL", "level IS NOT NULL", "semester IS NOT NULL", "n_chars > 0", "document_type IS NOT NULL"]
-_METADATA = f"""{_EXTENDED},
+_METADATA_ALL_TEXTS = f"""{_EXTENDED},
 m AS (SELECT t.doc_id, t.file_hash, nullif({sql_strip("split_part(t.text, chr(10), 1)")}, '') AS title, t.n_chars, x.department, x.course_code, x.level, x.semester, x.group_key,
   CASE {_TYPES} END AS document_type
-  FROM documents t LEFT JOIN x ON t.path = x.path WHERE t.text IS NOT NULL AND regexp_matches(t.text, '^[\\x00-\\x7F]*$')),
+  FROM documents t LEFT JOIN x ON t.path = x.path WHERE t.text IS NOT NULL),
 z AS (SELECT doc_id, group_key, department, document_type, CAST({" + ".join(f"CASE WHEN {f} THEN 10 ELSE 0 END" for f in _FLAGS)} AS DOUBLE) / {10 * len(_FLAGS)} * 100 AS completeness FROM m)"""
 
 
-_TYPES_ANY_SCRIPT = " ".join(f"WHEN regexp_matches(lower(t.text), '{p}') THEN '{n}'" for p, n in X.DOCUMENT_TYPES_ANY_SCRIPT)
-_METADATA_ALL_TEXTS = f"""{_EXTENDED},
-m AS (SELECT t.doc_id, t.file_hash, nullif({sql_strip("split_part(t.text, chr(10), 1)")}, '') AS title, t.n_chars, x.department, x.course_code, x.level, x.semester, x.group_key,
-  CASE {_TYPES_ANY_SCRIPT} END AS document_type
-  FROM documents t LEFT JOIN x ON t.path = x.path WHERE t.text IS NOT NULL),
-z AS (SELECT doc_id, group_key, department, document_type, CAST({" + ".join(f"CASE WHEN {f} THEN 10 ELSE 0 END" for f in _FLAGS)} AS DOUBLE) / {10 * len(_FLAGS)} * 100 AS completeness FROM m)"""
+def _summary(z: DataFrame) -> DataFrame:
+    return z.groupBy(F.coalesce("department", F.lit("")).alias("department"), F.coalesce("document_type", F.lit("")).alias("document_type")).agg(F.count("*").alias("documents"), F.round(F.avg("completeness"), 6).alias("completeness"))
+
 
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.document_records(load(spark, sf_dir, "documents"))
 
-def _ascii_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents").where(F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
 
+@query(f"WITH {_RECORD} SELECT * FROM z")
+def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole metadata record of every document; these have no PDF beside them, so that its fields are null."""
+    return _records(spark, sf_dir)
 
-def _all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents").where("text is not null")
+
+@query(f"WITH {_RECORD} SELECT doc_id, group_key, department, document_type, completeness FROM z")
+def metadata_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of ten flags that hold, of every document."""
+    return _records(spark, sf_dir).select("doc_id", "group_key", "department", "document_type", "completeness")
+
+
+@query(f"""
+WITH {_RECORD}
+SELECT coalesce(department, '') AS department, coalesce(document_type, '') AS document_type, count(*) AS documents, round(avg(completeness), 6) AS completeness FROM z GROUP BY 1, 2
+""")
+def metadata_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary(_records(spark, sf_dir))
 
 
-def _completeness(docs: DataFrame) -> DataFrame:
+def _eight_flags(docs: DataFrame) -> DataFrame:
     meta = docs.select("doc_id", "file_hash", F.nullif(X.strip(F.split_part("text", F.lit("\n"), F.lit(1))), F.lit("")).alias("title"), "n_chars", X.document_type(F.col("text")).alias("document_type"), *P.extended_metadata(F.col("path")), F.col("path").isNull().alias("pathless"))
     known = {c: F.when(~F.col("pathless"), F.col(c)) for c in ("department", "course_code", "level", "semester", "group_key")}
     flags = [F.col("file_hash").isNotNull(), F.col("title").isNotNull(), *(known[c].isNotNull() for c in ("department", "course_code", "level", "semester")), F.col("n_chars") > 0, F.col("document_type").isNotNull()]
@@ -100,28 +122,10 @@ def _completeness(docs: DataFrame) -> DataFrame:
     return meta.select("doc_id", known["group_key"].alias("group_key"), known["department"].alias("department"), "document_type", score.alias("completeness"))
 
 
-def _summary(z: DataFrame) -> DataFrame:
-    return z.groupBy(F.coalesce("department", F.lit("")).alias("department"), F.coalesce("document_type", F.lit("")).alias("document_type")).agg(F.count("*").alias("documents"), F.round(F.avg("completeness"), 6).alias("completeness"))
-
-
-@query(f"WITH {_METADATA} SELECT * FROM z")
-def metadata_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of ASCII documents with the share of eight flags that hold, as its SQL has it; see ``metadata_completeness_all_texts``."""
-    return _completeness(_ascii_documents(spark, sf_dir))
-
-
 @query(f"WITH {_METADATA_ALL_TEXTS} SELECT * FROM z")
 def metadata_completeness_all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of every document with a text, with the share of eight flags that hold."""
-    return _completeness(_all_documents(spark, sf_dir))
-
-
-@query(f"""
-WITH {_METADATA}
-SELECT coalesce(department, '') AS department, coalesce(document_type, '') AS document_type, count(*) AS documents, round(avg(completeness), 6) AS completeness FROM z GROUP BY 1, 2
-""")
-def metadata_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(_completeness(_ascii_documents(spark, sf_dir)))
+    """The share of eight flags, for files without document information: the title is the text's first line."""
+    return _eight_flags(load(spark, sf_dir, "documents").where("text is not null"))
 
 
 @query(f"""
@@ -129,7 +133,7 @@ WITH {_METADATA_ALL_TEXTS}
 SELECT coalesce(department, '') AS department, coalesce(document_type, '') AS document_type, count(*) AS documents, round(avg(completeness), 6) AS completeness FROM z GROUP BY 1, 2
 """)
 def metadata_summary_all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(_completeness(_all_documents(spark, sf_dir)))
+    return _summary(_eight_flags(load(spark, sf_dir, "documents").where("text is not null")))
 
 
 _LIST = lambda xs: ", ".join(f"'{x}'" for x in xs)
@@ -158,3 +162,16 @@ def discovered_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     paths = load(spark, sf_dir, "file_index").select("path").where("path is not null").distinct()
     return with_place(paths.where(discoverable(F.col("path"), (".pdf",)))).select("path", "place", F.size(F.split("path", "/")).alias("depth"))
+
+
+@query("""
+WITH d AS (SELECT DISTINCT array_to_string(list_slice(string_split(path, '/'), 1, len(string_split(path, '/')) - 1), '/') AS folder FROM file_index WHERE path IS NOT NULL)
+SELECT folder, row_number() OVER (ORDER BY len(string_split(folder, '/')) DESC, folder) AS place FROM d WHERE folder <> ''
+""")
+def directory_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders of the known files, the deepest first, as they would be emptied."""
+    from quirebase.operators.ordering import number_rows
+
+    parts = F.split("path", "/")
+    folders = load(spark, sf_dir, "file_index").where("path is not null").select(F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/").alias("folder")).where("folder <> ''").distinct()
+    return number_rows(folders, [], [-F.size(F.split("folder", "/")), F.col("folder")])

@@ -67,14 +67,16 @@ def collection_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH f AS (SELECT vec_id, list_transform(list_slice(list_concat(coalesce(embedding, CAST([] AS FLOAT[])), list_transform(range(0, 96), lambda i: CAST(0 AS FLOAT))), 1, 96), lambda x: CAST(x AS DOUBLE)) AS v FROM chunk_vectors WHERE embedding IS NULL OR len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)
-SELECT vec_id, CAST(len(v) AS INTEGER) AS dimension, round(v[1], 6) AS first, round(v[96], 6) AS last FROM f
+WITH f AS (SELECT vec_id, list_transform(list_slice(list_concat(coalesce(embedding, CAST([] AS FLOAT[])), list_transform(range(0, 96), lambda i: CAST(0 AS FLOAT))), 1, 96), lambda x: CAST(x AS DOUBLE)) AS v,
+  embedding IS NULL OR len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AS finite FROM chunk_vectors)
+SELECT vec_id, CAST(len(v) AS INTEGER) AS dimension, finite, CASE WHEN finite THEN round(v[1], 6) END AS first, CASE WHEN finite THEN round(v[96], 6) END AS last FROM f
 """)
 def vector_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors cut or padded to 96 elements."""
+    """Vectors cut or padded to 96 elements; those with an element that is no number are fitted too, and flagged."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    v = load(spark, sf_dir, "chunk_vectors").where(F.col("embedding").isNull() | ~bad).select("vec_id", fit_vector(F.col("embedding"), 96).alias("v"))
-    return v.select("vec_id", F.size("v").alias("dimension"), F.round(F.get("v", F.lit(0)).cast("double"), 6).alias("first"), F.round(F.get("v", F.lit(95)).cast("double"), 6).alias("last"))
+    v = load(spark, sf_dir, "chunk_vectors").select("vec_id", fit_vector(F.col("embedding"), 96).alias("v"), (~F.coalesce(bad, F.lit(False))).alias("finite"))
+    at = lambda k, name: F.when(F.col("finite"), F.round(F.get("v", F.lit(k)).cast("double"), 6)).alias(name)
+    return v.select("vec_id", F.size("v").alias("dimension"), "finite", at(0, "first"), at(95, "last"))
 
 
 @query("SELECT CASE WHEN count(*) FILTER (WHERE collection = 'course_bly') > 0 THEN 'course_bly' ELSE min(collection) END AS resolved, count(DISTINCT collection) AS collections FROM chunk_vectors")

@@ -148,27 +148,26 @@ FROM q
 """)
 def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
-    return load(spark, sf_dir, "documents").where("text is not null").select(
-        "doc_id", F.length(text).alias("n_characters"), X.word_count(text).alias("n_words"), F.size(X.sentences(text)).alias("n_sentences"), X.language_flag(text).alias("language"), F.round(X.readability(text), 6).alias("readability")
-    )
+    counted = load(spark, sf_dir, "documents").where("text is not null").select(
+        "doc_id", F.length(text).alias("n_characters"), X.word_count(text).alias("n_words"), X.sentence_count(text).alias("n_sentences"), X.effective_length(text).alias("n_letters"), X.language_flag(text).alias("language")
+    )
+    score = X.readability_of(F.col("n_words"), F.col("n_letters"), F.col("n_sentences"))
+    return counted.select("doc_id", "n_characters", "n_words", "n_sentences", "language", F.round(score, 6).alias("readability"))
 
 
-_TYPES_SQL = " ".join(f"WHEN regexp_matches(lower(text), '{p}') THEN '{t}'" for p, t in X.DOCUMENT_TYPES)
+_TYPES_SQL = " ".join(f"WHEN regexp_matches(lower(text), '{p}') THEN '{t}'" for p, t in X.DOCUMENT_TYPES_ANY_SCRIPT)
 
 
-@query(f"SELECT doc_id, CASE {_TYPES_SQL} END AS document_type FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '^[\\x00-\\x7F]*$')")
+@query(f"SELECT doc_id, CASE {_TYPES_SQL} END AS document_type FROM documents WHERE text IS NOT NULL")
 def document_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type by keyword of ASCII texts, as its SQL has it; ``document_type_all_texts`` reads every text."""
-    return load(spark, sf_dir, "documents").where(F.col("text").rlike(r"\A[\x00-\x7F]*\z")).select("doc_id", X.document_type(F.col("text")).alias("document_type"))
-
-
-_TYPES_ANY_SCRIPT_SQL = " ".join(f"WHEN regexp_matches(lower(text), '{p}') THEN '{t}'" for p, t in X.DOCUMENT_TYPES_ANY_SCRIPT)
+    """Type by keyword of every text, whatever its script."""
+    return load(spark, sf_dir, "documents").where("text is not null").select("doc_id", X.document_type(F.col("text")).alias("document_type"))
 
 
-@query(f"SELECT doc_id, CASE {_TYPES_ANY_SCRIPT_SQL} END AS document_type FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, CASE {_TYPES_SQL} END AS document_type FROM documents WHERE text IS NOT NULL")
 def document_type_all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type by keyword of every text, whatever its script."""
-    return load(spark, sf_dir, "documents").where("text is not null").select("doc_id", X.document_type(F.col("text")).alias("document_type"))
+    """The same under its earlier name."""
+    return document_type(spark, sf_dir)
 
 
 @query(f"""
