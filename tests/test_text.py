@@ -29,7 +29,7 @@ RECORDED = [
     ("a b\r\n\r\nc d\re", ["a b", "c d\ne"], ["a b\n\nc d\ne"]),
     ("p1\n\n\n p2 \n \np3", ["p1", "p2", "p3"], ["p1\n\np2\n\np3"]),
     ("one two three four\n\nfive six seven eight\n\nnine", ["one two three four", "five six seven eight", "nine"], ["one two three four", "four five six seven eight", " eight nine"]),
-    ("short\n\na paragraph beyond the limit\n\nend", ["short", "a paragraph beyond the limit", "end"], ["short\n\na paragraph beyond the limit", "limit end"]),
+    ("short\n\na paragraph beyond the limit\n\nend", ["short", "a paragraph beyond the limit", "end"], ["short\n\na paragraph beyond the limit", " limit end"]),
     ("unbrokenword\n\nanotherunbrokenone", ["unbrokenword", "anotherunbrokenone"], ["unbrokenword", "enword anotherunbrokenone"]),
 ]
 
