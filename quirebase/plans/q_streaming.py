@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quirebase.operators.external import embed, hashing_client
+from quirebase.operators.dedupe import latest
+from quirebase.operators.external import embed, hashing_client, with_retries
 from quirebase.plans.registry import query
 from quirebase.session import load, scratch_dir
 from quirebase.streaming import ingest as S
@@ -27,16 +28,15 @@ SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*)
 GROUP BY 1, 2
 """)
 def stream_hourly_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests an hour and model as a stream with a watermark; windows come out when they can't change any more, the last at the end."""
+    """Requests an hour and model as a stream in update mode: windows past the watermark leave the state, of each the last row holds."""
     base = scratch_dir(spark)
     events = S.stream_table(spark, f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     counts = S.windowed_counts(events, "ts", ["event_type"], "1 hour", "2 days")
-    counts.writeStream.outputMode("complete").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(
+    counts.writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(
         lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/out/v={n}")
     ).start().awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    newest = out.agg(F.max("v").alias("v"))
-    return out.join(F.broadcast(newest), "v").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "requests")
+    out = latest(spark.read.parquet(f"{base}/out"), ["window_start", "event_type"], [F.desc("v")])
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "requests")
 
 
 @query("""
@@ -46,15 +46,12 @@ l AS (SELECT user_id, max(life) AS life FROM s GROUP BY 1)
 SELECT CAST(s.user_id AS VARCHAR) AS key, count(*) AS touches, round(epoch_us(min(s.ts)) / 1000000.0, 3) AS created FROM s JOIN l USING (user_id, life) GROUP BY 1
 """)
 def stream_cache_touches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cache with a time to live as keyed state of a stream: each key's touches in its present life."""
+    """A cache with a time to live, merged batch by batch from a stream: each key's touches in its present life."""
     base = scratch_dir(spark)
     events = S.stream_table(spark, f"{sf_dir}/events.parquet")
     at = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000
-    states = S.last_seen(events, "user_id", at, 12 * 3600)
-    states.writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/out/v={n}")).start().awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    newest = Window.partitionBy("key").orderBy(F.desc("v"))
-    return out.withColumn("n", F.row_number().over(newest)).where("n = 1").select("key", "touches", F.round("created", 3).alias("created"))
+    states = S.last_seen(events, "user_id", at, 12 * 3600, f"{base}/state", f"{base}/checkpoint")
+    return states.select("key", "touches", F.round("created", 3).alias("created"))
 
 
 @query("""
@@ -72,7 +69,7 @@ def text_cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct chunk text embedded once by a pluggable client, here one without a network."""
     texts = load(spark, sf_dir, "chunks").select(F.col("metadata.chunk_hash").alias("chunk_hash"), "text").groupBy("chunk_hash").agg(F.min("text").alias("text"))
-    return texts.select("chunk_hash", embed(F.col("text"), hashing_client, 96).alias("embedding"))
+    return texts.select("chunk_hash", embed(F.col("text"), lambda: with_retries(hashing_client()), 96).alias("embedding"))
 
 
 @query("SELECT count(*) AS vectors, CAST(min(l) AS INTEGER) AS shortest, CAST(max(l) AS INTEGER) AS longest FROM (SELECT len(embedding) AS l FROM chunk_vectors WHERE embedding IS NOT NULL)")

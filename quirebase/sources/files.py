@@ -56,6 +56,15 @@ def scan_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".pd
     return kept.orderBy(F.split("path", "/")).limit(most) if most else kept
 
 
+def gather_files(spark: SparkSession, inputs: list[str], suffixes: tuple[str, ...] = (".pdf", ".pptx")) -> DataFrame:
+    """Files of several folders or single files, each once, in the order of their paths in lower case."""
+    out = None
+    for root in inputs:
+        part = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true").load(root).select("path", "length", "modificationTime")
+        out = part if out is None else out.unionByName(part)
+    return out.where(discoverable(F.col("path"), suffixes, prune=False)).distinct().orderBy(F.lower("path"), "path")
+
+
 def hash_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, length, md5, file_hash) of every file below ``root``: the content is hashed where it is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").load(root)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirebase.session import names_in, remove
+
 
 def write_records(records: DataFrame, path: str, by_group: bool = False, mode: str = "overwrite") -> None:
     """Vector records as JSON lines; a null embedding leaves its key out.
@@ -30,28 +32,53 @@ def write_csv(records: DataFrame, keys: tuple[str, ...], path: str) -> None:
     csv_columns(records, keys).write.mode("overwrite").option("header", "true").csv(path)
 
 
+def append_collection(rows: DataFrame, path: str, collection: str = "collection") -> None:
+    """Add rows to the collections that they name; nothing that is there is read or rewritten."""
+    rows.write.mode("append").partitionBy(collection).parquet(path)
+
+
+def replace_collections(rows: DataFrame, path: str, collection: str = "collection") -> None:
+    """Put rows in place of all that the collections they name held; other collections stay untouched."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(collection).parquet(path)
+
+
+def append_with_ids(rows: DataFrame, path: str) -> None:
+    """Add documents under random ids of their own."""
+    rows.select(F.uuid().alias("id"), *rows.columns).write.mode("append").parquet(path)
+
+
+def without_keys(stored: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """A keyed table without the keys in ``gone``."""
+    return stored.join(gone.select(key).distinct(), key, "left_anti")
+
+
 def upsert_table(arriving: DataFrame, path: str, key: str, version: str) -> DataFrame:
     """Merge rows into a table of snapshots ``path``/v=N by key: the last version of each key of both sides stays.
 
     Of equal versions the arriving one stays. The new snapshot is written beside
-    the old one and read from then on.
+    the old one and read from then on; the one before the old is deleted.
     """
     from quirebase.operators.dedupe import latest
 
     spark = arriving.sparkSession
     fresh = latest(arriving, [key], [F.desc(version)])
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(where) if s.getPath().getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))) if fs.exists(where) else []
+    done = snapshots(spark, path)
     if done:
         stored = spark.read.parquet(f"{path}/v={done[-1]}").withColumn("_came", F.lit(0))
         both = stored.unionByName(fresh.withColumn("_came", F.lit(1)), allowMissingColumns=True)
         merged = latest(both, [key], [F.desc(version), F.desc("_came")]).drop("_came")
     else:
         merged = fresh
-    merged.write.mode("overwrite").parquet(f"{path}/v={(done[-1] if done else 0) + 1}")
-    return spark.read.parquet(f"{path}/v={(done[-1] if done else 0) + 1}")
+    number = (done[-1] if done else 0) + 1
+    merged.write.mode("overwrite").parquet(f"{path}/v={number}")
+    for old in done[:-1]:
+        remove(spark, f"{path}/v={old}")
+    return spark.read.parquet(f"{path}/v={number}")
+
+
+def snapshots(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the snapshots under ``path`` that are whole."""
+    return sorted(int(n[2:]) for n in names_in(spark, path) if n.startswith("v=") and "_SUCCESS" in names_in(spark, f"{path}/{n}"))
 
 
 def union_reports(parts: list[DataFrame]) -> DataFrame:
