@@ -19,6 +19,26 @@ CONVERTED = (".docx", ".txt", ".ppt", ".pptx", ".odt")
 SIZE = r"(?i)\b([0-9]+(?:\.[0-9]+)?)([BKMG])\b"
 
 
+def json_text(text: Column) -> Column:
+    """A string as JSON in ASCII: other characters as escapes of their UTF-16 units."""
+    quoted = F.to_json(F.struct(text.alias("v")))
+    inner = F.substring(quoted, F.lit(6), F.length(quoted) - 6)
+    units = F.transform(F.split(inner, ""), lambda c: F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1")).otherwise(c))
+    return F.when(inner.rlike(r"[^\x00-\x7F]"), F.array_join(units, "")).otherwise(inner)
+
+
+def canonical_key(*args: Column | dict[str, Column]) -> Column:
+    """Sixteen hex digits of a call's arguments as canonical JSON: keys in order, a space after each comma and colon.
+
+    Arguments are JSON texts (see ``json_text``), or objects of them.
+    """
+    pieces: list[Column] = []
+    for arg in args:
+        whole = arg if isinstance(arg, Column) else F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{k}": '), arg[k].cast("string")) for k in sorted(arg)]), F.lit("}"))
+        pieces.append(whole)
+    return F.left(F.sha2(F.concat(F.lit('{"args": ['), F.concat_ws(", ", *pieces), F.lit('], "kwargs": {}}')), 256), F.lit(16))
+
+
 def human_bytes(n: Column) -> Column:
     """Bytes in the largest of B to TB that keeps the number at 1 or more, with a decimal from KB on."""
     f = n.cast("double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirebase.operators.dedupe import latest
@@ -42,6 +42,28 @@ def summary(state: DataFrame) -> DataFrame:
     return counted.select("total", "completed", "failed", "skipped", left.alias("open"), percent.alias("percent"), (F.col("total") - F.col("completed") - F.col("skipped") > 0).alias("can_resume"))
 
 
+def changes(ledger: DataFrame) -> DataFrame:
+    """(path, from_status, to_status, at) of every change; a first row is none, nor is a row with the same status."""
+    rows = ledger.where("path is not null").select("path", status(F.col("status")).alias("to_status"), moment().alias("at")).distinct()
+    step = F.array_position(F.array(*map(F.lit, ORDER)), F.col("to_status"))
+    before = Window.partitionBy("path").orderBy(F.asc_nulls_first("at"), step, "to_status")
+    return rows.withColumn("from_status", F.lag("to_status").over(before)).where("from_status <> to_status")
+
+
+def session(ledger: DataFrame) -> DataFrame:
+    """(session_id, resumed, total, completed): the session that the next run belongs to.
+
+    If anything is left to do, it is the one that began with the first row;
+    else a new one, named by the last moment, whose counters are 0.
+    """
+    bounds = ledger.where("path is not null").agg(F.min(moment()).alias("first"), F.max(moment()).alias("last"))
+    both = summary(current(ledger)).withColumn("_", F.lit(1)).join(bounds.withColumn("_", F.lit(1)), "_")
+    goes_on = F.col("can_resume")
+    began = F.floor(F.unix_micros(F.when(goes_on, F.col("first")).otherwise(F.col("last")).cast("timestamp")) / 1_000_000)
+    kept = lambda c: F.when(goes_on, F.col(c)).otherwise(0).alias(c)
+    return both.select(F.concat(F.lit("session_"), began.cast("bigint").cast("string")).alias("session_id"), goes_on.alias("resumed"), kept("total"), kept("completed"))
+
+
 def unchanged(state: DataFrame) -> Column:
     """Whether a finished file needn't be run again: same size and time, archived and upserted.
 

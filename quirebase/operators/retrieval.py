@@ -6,18 +6,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Query vectors that one pass over the data carries to all tasks.
 QUERIES_PER_PASS = 2_048
 
 
-def equal_to(rows: DataFrame, wanted: dict[str, object], columns: list[str] | None = None) -> DataFrame:
-    """Rows whose fields equal all given values; a wanted null matches nulls. Filters and columns reach the scan."""
+def equal_to(rows: DataFrame, wanted: dict[str, object], columns: list[str] | None = None, limit: int | None = None, order: list[str] | None = None) -> DataFrame:
+    """Rows whose fields equal all given values; a wanted null matches nulls. Filters and columns reach the scan.
+
+    ``limit`` keeps the first rows in ``order``.
+    """
     for field, value in wanted.items():
         rows = rows.where(F.col(field).isNull() if value is None else F.col(field) == F.lit(value))
-    return rows.select(*columns) if columns else rows
+    found = rows.select(*columns) if columns else rows
+    return found.orderBy(*(order or [])).limit(limit) if limit is not None else found
+
+
+def sanitised(metadata: Column) -> Column:
+    """A JSON object as a map of its keys: scalars as text, lists and objects as JSON text, a null as null."""
+    return F.from_json(metadata, "map<string,string>")
+
+
+def contexts(near: DataFrame, texts: DataFrame, glue: str = "\n\n---\n\n") -> DataFrame:
+    """(query_id, chunks, context): the texts (vec_id, text) of each query's nearest, the nearest first, joined into one."""
+    each = near.join(texts.select("vec_id", "text"), "vec_id")
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "vec_id", "text")))
+    return each.groupBy("query_id").agg(F.count("*").alias("chunks"), F.array_join(F.transform(ordered, lambda p: p["text"]), glue).alias("context"))
 
 
 def tagged(rows: DataFrame, tag: str, value: object, everywhere: str = "everytag") -> DataFrame:

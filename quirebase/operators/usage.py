@@ -30,6 +30,12 @@ def limits_of(model: Column) -> tuple[Column, Column]:
     return F.try_element_at(day, model), F.try_element_at(minute, model)
 
 
+def upgraded(entries: DataFrame, now: Column, ttl: float) -> DataFrame:
+    """Entries (created_at, ttl) with ``upgraded``: those without a time of creation get the present one and the usual time to live."""
+    old = F.col("created_at").isNull()
+    return entries.withColumn("upgraded", old).withColumn("ttl", F.when(old, F.lit(ttl)).otherwise(F.col("ttl"))).withColumn("created_at", F.coalesce("created_at", now))
+
+
 def expired(created_at: Column, ttl: Column, now: Column) -> Column:
     """Whether an entry is past its time to live; one without never is."""
     return F.coalesce(ttl, F.lit(float("inf"))) < (now - created_at)

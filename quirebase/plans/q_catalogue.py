@@ -62,23 +62,23 @@ def generated_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT item_id, coalesce(difficulty IN ('Easy', 'Medium', 'Hard') AND difficulty_ranking BETWEEN 1 AND 10 AND len(options) = 4 AND len(list_distinct(options)) = 4 AND list_contains(options, correct_answer) AND explanation IS NOT NULL AND len(coalesce(solution_steps, CAST([] AS VARCHAR[]))) <= 5, false) AS valid,
-  CAST(len(list_slice(coalesce(solution_steps, CAST([] AS VARCHAR[])), 1, 3)) AS INTEGER) AS steps, chr(CAST(64 + list_position(options, correct_answer) AS INTEGER)) AS letter
+  CAST(len(list_slice(coalesce(solution_steps, CAST([] AS VARCHAR[])), 1, 5)) AS INTEGER) AS steps, chr(CAST(64 + list_position(options, correct_answer) AS INTEGER)) AS letter
 FROM exam_items
 """)
 def question_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which questions satisfy their schema; the answer as a letter; the first three steps."""
+    """Which questions satisfy their schema; the answer as a letter; the first five steps."""
     q = load(spark, sf_dir, "exam_items")
-    steps = F.size(F.slice(F.coalesce("solution_steps", F.array().cast("array<string>")), 1, 3))
+    steps = F.size(F.slice(F.coalesce("solution_steps", F.array().cast("array<string>")), 1, 5))
     return q.select("item_id", C.valid_question().alias("valid"), steps.alias("steps"), F.char(F.lit(64) + F.array_position("options", F.col("correct_answer"))).alias("letter"))
 
 
 @query("SELECT course_code, difficulty, count(*) AS questions, round(avg(difficulty_ranking), 6) AS ranking FROM exam_items GROUP BY 1, 2")
 def question_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Questions written in folders by difficulty, sorted by course, and counted from there."""
+    """Questions written in folders by course and difficulty, and counted from there."""
     from quirebase.session import scratch_dir
 
     where = f"{scratch_dir(spark)}/questions"
-    load(spark, sf_dir, "exam_items").select("item_id", "difficulty_ranking", "course_code", "difficulty").sortWithinPartitions("difficulty", "course_code").write.partitionBy("difficulty").parquet(where)
+    load(spark, sf_dir, "exam_items").select("item_id", "difficulty_ranking", "course_code", "difficulty").repartition("course_code").write.partitionBy("course_code", "difficulty").parquet(where)
     back = spark.read.schema("item_id bigint, difficulty_ranking int, course_code string, difficulty string").parquet(where)
     return back.groupBy("course_code", "difficulty").agg(F.count("*").alias("questions"), F.round(F.avg("difficulty_ranking"), 6).alias("ranking"))
 

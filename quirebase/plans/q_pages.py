@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quirebase.functions.text import SPACE, effective_length, strip
 from quirebase.functions.values import human_bytes, parse_size, reduction_percent
 from quirebase.operators import pages as G
+from quirebase.operators.ledger import status
 from quirebase.plans.q_text import sql_strip
 from quirebase.plans.registry import query
 from quirebase.session import load
@@ -104,8 +105,13 @@ def size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT path, max(file_size) AS file_size FROM ledger WHERE path IS NOT NULL AND file_size IS NOT NULL GROUP BY 1)
-SELECT count(*) FILTER (WHERE file_size < 262144) AS skipped_small, count(*) FILTER (WHERE file_size >= 262144) AS compressed, count(*) AS files FROM s
+WITH s AS (SELECT path, max(file_size) AS before, min(file_size) AS after, bool_or(coalesce(lower(trim(status)) = 'failed', false)) AS failed FROM ledger WHERE path IS NOT NULL AND file_size IS NOT NULL GROUP BY 1),
+a AS (SELECT CASE WHEN failed THEN 'failed' WHEN before < 262144 THEN 'skipped_small' WHEN (1 - after / CAST(greatest(1, before) AS DOUBLE)) * 100 >= 10 THEN 'compressed' ELSE 'kept' END AS action FROM s)
+SELECT count(*) FILTER (WHERE action = 'skipped_small') AS skipped_small, count(*) FILTER (WHERE action = 'compressed') AS compressed, count(*) FILTER (WHERE action = 'kept') AS kept, count(*) FILTER (WHERE action = 'failed') AS failed, count(*) AS files FROM a
 """)
 def action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return size_report(spark, sf_dir).agg(F.count_if(F.col("action") == "skipped_small").alias("skipped_small"), F.count_if(F.col("action") == "compressed").alias("compressed"), F.count("*").alias("files"))
+    """Files by what became of them, from their largest size to their smallest; one that ever failed counts as failed."""
+    sizes = load(spark, sf_dir, "ledger").where("path is not null and file_size is not null").groupBy("path").agg(F.max("file_size").alias("before"), F.min("file_size").alias("after"), F.bool_or(F.coalesce(status(F.col("status")) == "failed", F.lit(False))).alias("failed"))
+    cut = reduction_percent(F.col("before"), F.col("after"))
+    action = F.when(F.col("failed"), "failed").when(F.col("before") < 262144, "skipped_small").when(cut >= 10, "compressed").otherwise("kept")
+    return sizes.select(action.alias("action")).agg(*[F.count_if(F.col("action") == a).alias(a) for a in ("skipped_small", "compressed", "kept", "failed")], F.count("*").alias("files"))

@@ -43,8 +43,8 @@ def replace_collections(rows: DataFrame, path: str, collection: str = "collectio
 
 
 def append_with_ids(rows: DataFrame, path: str) -> None:
-    """Add documents under random ids of their own."""
-    rows.select(F.uuid().alias("id"), *rows.columns).write.mode("append").parquet(path)
+    """Add documents under random ids of their own, in place of an ``id`` they may have."""
+    rows.withColumn("id", F.uuid()).write.mode("append").parquet(path)
 
 
 def without_keys(stored: DataFrame, gone: DataFrame, key: str) -> DataFrame:
