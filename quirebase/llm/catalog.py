@@ -41,7 +41,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbour_rows(load(spark, sf_dir, "chunk_vectors"), ForestParams(trees=4, probes=24.0)).selectExpr("vec_id", "neighbour", "round(similarity, 4) AS similarity")
+    return neighbour_rows(load(spark, sf_dir, "chunk_vectors"), ForestParams(trees=4, probes=32)).selectExpr("vec_id", "neighbour", "round(similarity, 4) AS similarity")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,21 @@
 """The most similar vectors of every vector (problem 3).
 
 A forest of random-projection trees is fitted on a bounded sample; every
-vector is indexed in one leaf of each tree. As a query it visits the leaves of
-all trees from one shared priority queue, whose priority is the smallest
-margin to a hyperplane on the way down: its own leaves first, then those on
-the near side of a split, until the queue's best margin is worse than a bound
-set for a wanted mean number of leaves. Leaves are Spark groups; in each the
-candidates are ranked by their full cosine, and the best of all leaves remain.
+vector is indexed in one leaf of each tree. As a query it has one priority
+queue for the nodes of all trees, whose priority is the smallest margin to a
+hyperplane on the way down; it takes the best leaf from it until it has
+visited ``probes`` of them. As a child is never better than its node, these
+are the ``probes`` leaves of the best priority, which are found for many
+queries at once. Neighbouring leaves of a tree form a Spark group, to which a
+vector goes once for all that it visits there; in a leaf the candidates are
+ranked by their cosine, and the best of all leaves remain. A leaf that is far
+larger than wanted, as where the sample can't divide a very large collection
+further, is divided by a tree of its own where it lies.
 
 Vectors travel as 12-bit fixed-point numbers, which moves a cosine by some
-5e-5. Equal vectors are indexed once.
+5e-5. Wherever that could decide, at the last place or at the wanted
+similarity, the original numbers of both vectors decide. Equal vectors are
+indexed once.
 """
 
 from __future__ import annotations
@@ -31,14 +37,19 @@ class ForestParams:
     dimension: int = 128
     min_similarity: float = -2.0  # neighbours below it aren't wanted
     trees: int = 3
-    probes: float = 8.5  # leaves that a vector visits on average
+    probes: int = 20  # leaves that a vector visits, over all trees
     leaf_size: int = 1_500  # vectors
     sample: int = 200_000  # most vectors that the trees are fitted on
     per_leaf: int = 10  # sampled vectors that a leaf needs at least
     mutual: bool = True  # what a query finds is a candidate for both
+    unsure: float = 5e-4  # similarities that differ by less are compared by the original numbers
     seed: int = 11
 
 
+#: Neighbouring leaves that form a group.
+LEAVES_PER_GROUP = 16
+#: Codes that a task ranks, on average, at most.
+CODES_PER_TASK = 150_000
 #: Copies of one vector that form a ring; larger groups of copies make several.
 RING = 1_000
 
@@ -143,57 +154,133 @@ class Forest:
     def __init__(self, sample: np.ndarray, count: int, params: ForestParams):
         draw = np.random.default_rng(params.seed)
         leaves = min(-(-count // params.leaf_size), max(1, len(sample) // params.per_leaf))
+        self.probes = params.probes
         self.trees = [Tree(sample, leaves, draw) for _ in range(params.trees if leaves > 1 else 1)]
-        self.offsets = np.cumsum([0] + [t.leaves for t in self.trees])
+        # leaves of a tree begin a group of their own
+        self.offsets = np.cumsum([0] + [-(-t.leaves // LEAVES_PER_GROUP) * LEAVES_PER_GROUP for t in self.trees])
         few = sample[draw.choice(len(sample), min(1_000, len(sample)), replace=False)]
-        self.bound = 0.002
-        while leaves > 1 and self.bound < 2 and sum(len(t.visit(few, self.bound)[0]) for t in self.trees) < params.probes * len(few):
-            self.bound *= 1.15
+        self.bound = 0.01
+        while leaves > 1 and self.bound < 2 and np.median(self._count(few)) < params.probes:
+            self.bound *= 1.3
+
+    def _count(self, vectors: np.ndarray) -> np.ndarray:
+        return np.bincount(np.concatenate([t.visit(vectors, self.bound)[0] for t in self.trees]), minlength=len(vectors))
 
     def visit(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, leaf, whether the leaf is the row's own) over all trees."""
-        each = [t.visit(vectors, self.bound) for t in self.trees]
+        """(row, leaf, whether the leaf is the row's own): of each row the ``probes`` leaves that its queue gives first."""
+        rows, leaves, priority = self._within(vectors, np.arange(len(vectors)), self.bound)
+        order = np.lexsort((-priority, rows))
+        rows, leaves, priority = rows[order], leaves[order], priority[order]
+        first = np.arange(len(rows)) - np.searchsorted(rows, rows) < self.probes
+        return rows[first], leaves[first], priority[first] > 0
+
+    def _within(self, vectors: np.ndarray, which: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All leaves of a priority of -bound or more; rows with too few are asked again with a wider bound."""
+        each = [t.visit(vectors[which], bound) for t in self.trees]
         rows = np.concatenate([x[0] for x in each])
         leaves = np.concatenate([x[1] + o for x, o in zip(each, self.offsets)])
-        return rows, leaves, np.concatenate([x[2] > 0 for x in each])
+        priority = np.concatenate([x[2] for x in each])
+        short = np.bincount(rows, minlength=len(which)) < min(self.probes, sum(t.leaves for t in self.trees))
+        if bound >= 2 or not short.any():
+            return which[rows], leaves, priority
+        more = self._within(vectors, which[short], bound * 2)
+        full = ~short[rows]
+        return tuple(np.concatenate(x) for x in zip((which[rows[full]], leaves[full], priority[full]), more))
+
+
+_ROUTED = "leaves int, rep bigint, code binary, visits binary"
 
 
 def _route(forest):
+    """Each vector once for every group of leaves that it visits; a visit is the leaf's number in the group, doubled, and 1 more in its own."""
+    schema = pa.schema([("leaves", pa.int32()), ("rep", pa.int64()), ("code", pa.binary()), ("visits", pa.binary())])
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), 4_000):
                 part = batch.slice(start, 4_000)
                 rows, leaves, own = forest.value.visit(decode(part.column("code").to_pylist()))
-                at = pa.array(rows)
-                yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int32()), part.column("rep").take(at), pa.array(own), part.column("code").take(at)], ["leaf", "rep", "own", "code"])
+                group, visit = leaves // LEAVES_PER_GROUP, (leaves % LEAVES_PER_GROUP * 2 + own).astype(np.uint8)
+                order = np.lexsort((group, rows))
+                rows, group, visit = rows[order], group[order], visit[order]
+                cut = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (group[1:] != group[:-1])])
+                visits = [visit[a:b].tobytes() for a, b in zip(cut, np.r_[cut[1:], len(visit)])]
+                at = pa.array(rows[cut])
+                yield pa.RecordBatch.from_arrays([pa.array(group[cut].astype(np.int32)), part.column("rep").take(at), part.column("code").take(at), pa.array(visits, pa.binary())], schema=schema)
 
     return route
 
 
-def _rank_leaf(params: ForestParams):
+def _best(s: np.ndarray, params: ForestParams) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the wanted similarities, a few more than ``k`` a row at most."""
+    k = min(params.k + 2, s.shape[1])
+    wanted = s >= max(params.min_similarity - params.unsure, -2.5)
+    many = np.flatnonzero(wanted.sum(axis=1) > k)
+    if len(many):
+        best = np.argpartition(-s[many], k - 1, axis=1)[:, :k]
+        only = np.zeros((len(many), s.shape[1]), bool)
+        np.put_along_axis(only, best, True, axis=1)
+        wanted[many] &= only
+    return np.nonzero(wanted)
+
+
+def _rank_leaf(vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, params: ForestParams, divide: bool = True) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, neighbour, similarity) of all visitors of a leaf against those whose leaf it is."""
+    data = np.flatnonzero(own)
+    if len(data) < 1 or len(ids) < 2:
+        return []
+    if divide and len(data) > 4 * params.leaf_size:
+        # divide the leaf where it lies: a tree of its own, whose leaves are searched in the same way
+        inner = ForestParams(**{**params.__dict__, "trees": 1, "probes": 3, "sample": 20_000})
+        draw = np.random.default_rng(params.seed)
+        forest = Forest(vectors[data[draw.choice(len(data), min(len(data), 20_000), replace=False)]], len(data), inner)
+        if forest.trees[0].leaves > 1:
+            rows, leaves, mine = forest.visit(vectors)
+            out = []
+            for leaf in range(forest.trees[0].leaves):
+                at = np.flatnonzero(leaves == leaf)
+                out += _rank_leaf(vectors[rows[at]], ids[rows[at]], mine[at] & own[rows[at]], params, False)
+            return out
+    out = []
+    step = max(1, min(2_000, 8_000_000 // len(data)))
+    for start in range(0, len(ids), step):
+        s = vectors[start : start + step] @ vectors[data].T
+        s[ids[start : start + step, None] == ids[data]] = -3
+        row, col = _best(s, params)
+        out.append((ids[start + row], ids[data[col]], s[row, col]))
+    return out
+
+
+def _rank_group(params: ForestParams):
     def rank(group: pa.Table) -> pa.Table:
         ids = group.column("rep").to_numpy()
         vectors = decode(group.column("code").to_pylist())
-        data = np.flatnonzero(group.column("own").to_numpy(zero_copy_only=False))
-        queries, found, similarity = [], [], []
-        if len(data) > 1 or (len(data) == 1 and len(ids) > 1):
-            step = max(1, min(2_000, 8_000_000 // len(data)))
-            for start in range(0, len(ids), step):
-                s = vectors[start : start + step] @ vectors[data].T
-                s[ids[start : start + step, None] == ids[data]] = -3
-                k = min(params.k, s.shape[1])
-                best = np.argpartition(-s, k - 1, axis=1)[:, :k]
-                value = np.take_along_axis(s, best, axis=1)
-                row, col = np.nonzero((value >= params.min_similarity - 1e-6) & (value > -2.5))
-                queries.append(ids[start + row])
-                found.append(ids[data[best[row, col]]])
-                similarity.append(value[row, col])
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.array([], kind)
-        return pa.table({"a": pa.array(join(queries, np.int64), pa.int64()), "b": pa.array(join(found, np.int64), pa.int64()), "similarity": pa.array(join(similarity, np.float32).astype(np.float64))})
+        visits = group.column("visits").to_pylist()
+        row = np.repeat(np.arange(len(ids)), [len(v) for v in visits])
+        visit = np.frombuffer(b"".join(visits), np.uint8)
+        found = []
+        for leaf in range(LEAVES_PER_GROUP):
+            at = np.flatnonzero(visit >> 1 == leaf)
+            found += _rank_leaf(vectors[row[at]], ids[row[at]], (visit[at] & 1).astype(bool), params)
+        join = lambda k, kind: np.concatenate([f[k] for f in found]).astype(kind) if found else np.array([], kind)
+        a, b, similarity = join(0, np.int64), join(1, np.int64), join(2, np.float64)
+        # a pair may meet in several leaves of a group
+        order = np.lexsort((b, a))
+        a, b, similarity = a[order], b[order], similarity[order]
+        fresh = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.array([], bool)
+        return pa.table({"a": pa.array(a[fresh], pa.int64()), "b": pa.array(b[fresh], pa.int64()), "similarity": pa.array(similarity[fresh])})
 
     return rank
 
 
+def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cosines of pairs by their original numbers."""
+    for batch in batches:
+        x, y = (batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), -1 if len(batch) else 0) for c in ("x", "y"))
+        value = (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1)) if len(batch) else np.array([], np.float64)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(value)], ["a", "b", "exact"])
+
+
 @dataclass(frozen=True)
 class Neighbours:
     pairs: DataFrame  # a, b, similarity, a_copies, b_copies, place: of representatives, place counts from 1
@@ -232,13 +319,26 @@ def nearest(vectors: DataFrame, params: ForestParams = ForestParams()) -> Neighb
     if len(sample) < 2:
         sample = coded.select("code").limit(2).toArrow().column("code").to_pylist()
     forest = spark.sparkContext.broadcast(Forest(decode(sample), count, params))
-    visits = coded.select("rep", "code").mapInArrow(_route(forest), "leaf int, rep bigint, own boolean, code binary")
-    ranked = visits.groupBy("leaf").applyInArrow(_rank_leaf(params), "a bigint, b bigint, similarity double")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count * params.probes // 2 // CODES_PER_TASK)
+    visits = coded.select("rep", "code").mapInArrow(_route(forest), _ROUTED).repartition(tasks, "leaves")
+    ranked = visits.groupBy("leaves").applyInArrow(_rank_group(params), "a bigint, b bigint, similarity double")
     if params.mutual:
         ranked = materialise(ranked, f"{base}/ranked")
     ranked = ranked.unionAll(ranked.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")) if params.mutual else ranked
-    best = Window.partitionBy("a").orderBy(F.desc("similarity"), "b")
-    pairs = ranked.groupBy("a", "b").agg(F.max("similarity").alias("similarity")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= params.k)
+    by_a = Window.partitionBy("a")
+    best = by_a.orderBy(F.desc("similarity"), "b")
+    placed = ranked.groupBy("a", "b").agg(F.max("similarity").alias("similarity")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= params.k + 2)
+    at = lambda n: F.max(F.when(F.col("place") == n, F.col("similarity"))).over(by_a)
+    last, next_one = at(params.k), at(params.k + 1)
+    close = ((last - next_one < params.unsure) & (F.abs(F.col("similarity") - last) < params.unsure)) | (F.abs(F.col("similarity") - params.min_similarity) < params.unsure)
+    candidates = materialise(placed.withColumn("unsure", F.coalesce(close, F.lit(False))), f"{base}/candidates")
+    asked = candidates.where("unsure").select("a", "b")
+    wanted = materialise(asked.select(F.explode(F.array("a", "b")).alias("vec_id")).distinct(), f"{base}/wanted")
+    known = materialise(usable(vectors, params.dimension).join(wanted, "vec_id", "left_semi").groupBy("vec_id").agg(F.first("embedding").alias("embedding")), f"{base}/originals")
+    side = lambda i, v: known.select(F.col("vec_id").alias(i), F.col("embedding").alias(v))
+    exact = asked.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_cosines, "a bigint, b bigint, exact double")
+    pairs = candidates.join(exact, ["a", "b"], "left").select("a", "b", F.coalesce("exact", "similarity").alias("similarity"))
+    pairs = pairs.where(F.col("similarity") >= params.min_similarity).withColumn("place", F.row_number().over(best)).where(F.col("place") <= params.k)
     copies = lambda side: several.select(F.col("rep").alias(side), F.col("copies").alias(f"{side}_copies"))
     pairs = pairs.join(copies("a"), "a", "left").join(copies("b"), "b", "left")
     pairs = pairs.select("a", "b", "similarity", F.coalesce("a_copies", F.lit(1)).cast("bigint").alias("a_copies"), F.coalesce("b_copies", F.lit(1)).cast("bigint").alias("b_copies"), "place")

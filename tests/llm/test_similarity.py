@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 pytest.importorskip("quirebase.llm")
 from quirebase.llm.history import History, HistoryParams, arrivals, chunk_rows, repeated_arrivals  # noqa: E402
 from quirebase.llm.leaks import LeakParams, edits_within, find_leaks, near_leaks  # noqa: E402
-from quirebase.llm.neighbours import ForestParams, decode, encode, neighbour_rows, similar_pairs  # noqa: E402
+from quirebase.llm.neighbours import Forest, ForestParams, decode, encode, neighbour_rows, similar_pairs  # noqa: E402
 from quirebase.llm.versions import VersionParams, version_groups, version_pairs  # noqa: E402
 from quirebase.llm.words import words_of  # noqa: E402
 
@@ -47,6 +47,27 @@ def test_neighbours_of_many_leaves(spark):
     assert max(np.unique([r.vec_id for r in rows], return_counts=True)[1]) <= 10
 
 
+def test_leaves_that_the_sample_leaves_large_are_divided(spark):
+    v = clustered(3000, 16, 4)
+    table = spark.createDataFrame([(i, x.tolist(), "clash", 0) for i, x in enumerate(v)], VECTORS)
+    rows = neighbour_rows(table, ForestParams(k=10, dimension=16, leaf_size=100, per_leaf=1_000, probes=3)).collect()
+    top, _ = exact_top(v, 10)
+    wanted = {(i, j) for i, near in enumerate(top) for j in near.tolist()}
+    assert len(wanted & {(r.vec_id, r.neighbour) for r in rows}) / len(wanted) >= 0.8
+
+
+def test_a_queue_takes_the_best_leaves_of_all_trees():
+    v = clustered(2000, 16, 5)
+    forest = Forest(v, 2000, ForestParams(dimension=16, leaf_size=100, probes=6))
+    rows, leaves, own = forest.visit(v)
+    assert (np.bincount(rows) == 6).all() and (np.bincount(rows[own]) == len(forest.trees)).all()
+    every = [t.visit(v[:50], 9.0) for t in forest.trees]
+    for r in range(50):
+        ranked = sorted(((p, leaf + o) for t, o in zip(every, forest.offsets) for row, leaf, p in zip(*t) if row == r), reverse=True)
+        priority = {leaf: p for p, leaf in ranked}
+        assert sorted(priority[leaf] for leaf in leaves[rows == r].tolist()) == sorted(p for p, _ in ranked[:6])
+
+
 def test_similar_pairs_with_copies_and_unusable(spark):
     v = clustered(300, 8, 3)
     rows = [(i, x.tolist(), None, 0) for i, x in enumerate(v)]
