@@ -28,8 +28,10 @@ from quirebase.session import materialise, scratch_dir
 #: Counters of the order's statistics: its size is fixed, whatever the corpus.
 COUNTERS = 1 << 22
 _BLOCK = 1 << 16
-#: Postings that one region holds on average, at most.
-POSTINGS_PER_REGION = 2_000_000
+#: Postings that one region holds on average, at most; a region is a task of its own.
+POSTINGS_PER_REGION = 200_000
+#: Texts that a task remembers, to post copies once.
+_REMEMBERED = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -118,23 +120,35 @@ def _post(counts, regions: int, params: VersionParams):
     schema = pa.schema([("region", pa.int32()), ("id", pa.int64()), ("size", pa.int32()), ("signature", pa.binary()), ("tokens", pa.binary()), ("places", pa.binary())])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, frequency = Shingler(params), counts.value
+        import xxhash
+
+        shingle, frequency, seen = Shingler(params), counts.value, set()
+        # what a counter holds of common shingles stands out from what chance puts into every counter
+        noise = int(np.median(frequency))
         for batch in batches:
             ids = batch.column("id").to_numpy()
             for first, texts in text_slices(batch, "text", 500_000):
+                for k, text in enumerate(texts):
+                    copy = (int(ids[first + k]), xxhash.xxh64_intdigest(text or ""))
+                    if copy in seen:
+                        texts[k] = None
+                    elif len(seen) < _REMEMBERED:
+                        seen.add(copy)
                 owner, h = shingle(texts)
                 if not len(h):
                     continue
                 often = frequency[_counter(h)]
+                alone = often <= 1
+                often = np.maximum(often - noise, 1)
                 order = np.lexsort((h, often, owner))
-                owner, h, often = owner[order], h[order], often[order]
+                owner, h, often, alone = owner[order], h[order], often[order], alone[order]
                 size = np.bincount(owner, minlength=len(texts))
                 place = np.arange(len(h)) - (np.cumsum(size) - size)[owner]
                 signature = np.zeros((len(texts), 4), np.uint64)
                 bit = (_mix(h) & np.uint64(255)).astype(np.int64)
                 np.bitwise_or.at(signature, (owner, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
                 prefix = size - np.ceil(params.similarity * size - 1e-9).astype(np.int64) + 1
-                keep = (place < prefix[owner]) & (often > 1)
+                keep = (place < prefix[owner]) & ~alone
                 owner, h, often, place = owner[keep], h[keep], often[keep], place[keep]
                 cells = -(-often // params.hot)
                 if (cells > 1).any():
@@ -173,6 +187,9 @@ def _join_region(params: VersionParams):
     t = params.similarity
 
     def join(group: pa.Table) -> pa.Table:
+        # copies of one text that different tasks posted are one text here
+        copies = group.select(["id", "size", "signature", "tokens"]).to_pandas()
+        group = group.take(pa.array(np.flatnonzero(~copies.duplicated().to_numpy())))
         ids, size = group.column("id").to_numpy(), group.column("size").to_numpy().astype(np.int64)
         signature = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u8").reshape(-1, 4)
         lists = group.column("tokens").to_pylist()
@@ -252,7 +269,7 @@ def version_pairs(texts: DataFrame, params: VersionParams = VersionParams()) ->
     regions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(counts.sum() * (1 - params.similarity)) // POSTINGS_PER_REGION)
     shared = spark.sparkContext.broadcast(counts)
     postings = source.select("id", "text").mapInArrow(_post(shared, regions, params), _POSTINGS)
-    near = postings.groupBy("region").applyInArrow(_join_region(params), "a bigint, b bigint")
+    near = postings.repartition(regions, "region").groupBy("region").applyInArrow(_join_region(params), "a bigint, b bigint")
     near = materialise(near.distinct(), f"{base}/near")
     wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     needed = materialise(source.join(wanted, "id", "left_semi").groupBy("id", "chunk_hash").agg(F.min("text").alias("text")), f"{base}/texts")

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,25 @@ def test_versions(spark, words, similarity, hot):
         assert sum(n for _, n in group.values()) == 2 * len(wanted)
 
 
+def test_copies_of_a_text_are_posted_once(spark):
+    from quirebase.llm import versions
+
+    text = " ".join(f"w{k}" for k in range(30))
+    table = spark.createDataFrame([("a", text)] * 3_000 + [("b", text + " x")] * 3_000 + [("c", text + " y z")], "chunk_hash string, text string").repartition(3)
+    posted = []
+    join = versions._join_region(VersionParams(3, 0.6))
+    rows = table.selectExpr("xxhash64(chunk_hash) AS id", "text").toArrow().to_batches()
+
+    class Counts:
+        value = np.full(versions.COUNTERS, 2)
+
+    for batch in versions._post(Counts, 1, VersionParams(3, 0.6))(iter(rows)):
+        posted.append(batch)
+    group = pa.Table.from_batches(posted)
+    assert len(group) == 3 and len(join(pa.concat_tables([group] * 4))) == 3
+    assert {(r.hash_a, r.hash_b) for r in version_pairs(table, VersionParams(3, 0.6)).collect()} == {("a", "b"), ("a", "c"), ("b", "c")}
+
+
 def test_a_long_chain_of_versions_is_one_group(spark):
     hashes = [f"h{k:03}" for k in range(300)]
     random.Random(0).shuffle(hashes)
