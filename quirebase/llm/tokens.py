@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -177,9 +178,9 @@ def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_arrays([pa.array([block] * m), pa.nulls(m, pa.int64()), pa.array([p.encode() for p in number], pa.binary()), pa.array([x.tobytes() for x in at], pa.binary()), pa.nulls(m, pa.binary())], schema=schema)
 
 
-def _walk_trie(path: str):
+def _walk_trie(name: str):
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states = PrefixStates(vocabulary(path))
+        states = PrefixStates(vocabulary(SparkFiles.get(name)))
         for batch in batches:
             pieces = batch.column("piece")
             yield pa.RecordBatch.from_arrays([pieces, pa.array([states.tokens(p.as_py()) for p in pieces], pa.int32())], ["piece", "tokens"])
@@ -202,17 +203,19 @@ def token_counts(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     ``docs`` needs doc_id and text; equal rows stay as many rows, other columns
     are ignored. Blocks of about two million characters share one list of
     pieces, so the shuffles carry each piece once a block and not once an
-    occurrence; a block's size doesn't depend on the number of documents.
+    occurrence; a block's size doesn't depend on the number of documents. The
+    vocabulary's file is read by the driver and sent to all executors.
     """
     spark = docs.sparkSession
     base = scratch_dir(spark)
+    spark.sparkContext.addFile(path)
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     counted = materialise(source.where("text is not null").mapInArrow(_count_pieces, _COUNTED), f"{base}/counted")
     pieces = counted.where("piece is not null").select("block", "piece", "numbers")
     walked = (
         pieces.select("piece").distinct()
         .repartitionByRange(max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), "piece").sortWithinPartitions("piece")
-        .mapInArrow(_walk_trie(path), "piece binary, tokens int")
+        .mapInArrow(_walk_trie(os.path.basename(path)), "piece binary, tokens int")
     )
     terminal = pieces.join(walked, "piece").select("block", "numbers", "tokens")
     documents = counted.where("doc_id is not null").select(F.col("block").alias("in_block"), "doc_id", F.col("numbers").alias("own"), "times")
@@ -241,7 +244,7 @@ def clean_path(path: F.Column) -> F.Column:
 
 
 def token_totals(docs: DataFrame, counts: DataFrame, billing: DataFrame) -> DataFrame:
-    """Documents, tokens and billed tokens of every slice by source, language and domain, with subtotals.
+    """Documents, tokens and billed tokens of every slice by source, language and domain, by each two and each one of them, and in all.
 
     ``counts`` has one row for each document (see ``token_counts``); a document
     id is taken to be unique. Repeated billing rows count once and partial
@@ -253,7 +256,7 @@ def token_totals(docs: DataFrame, counts: DataFrame, billing: DataFrame) -> Data
         .join(counts, "doc_id")
         .join(billed, "billed_path", "left")
     )
-    cube = slices.rollup("source", "lang", "domain").agg(
+    cube = slices.cube("source", "lang", "domain").agg(
         F.count("*").alias("documents"), F.sum(F.coalesce("tokens", F.lit(0))).alias("tokens"), F.sum(F.coalesce("billed_tokens", F.lit(0))).alias("billed_tokens"), F.count("billed_tokens").alias("billed_documents"), F.grouping_id().alias("level")
     )
     names = [F.when(F.col("level").bitwiseAND(bit) > 0, "all").otherwise(F.col(name)).alias(name) for name, bit in (("source", 4), ("lang", 2), ("domain", 1))]

@@ -44,6 +44,7 @@ def test_totals_have_one_name_for_a_slice(spark):
     counts = spark.createDataFrame([(1, 5), (2, 7), (3, None)], "doc_id long, tokens long")
     bills = spark.createDataFrame([("/a/b.pdf", 4, 1), ("/a/b.pdf", 4, 1), ("/a/b.pdf", 2, 1)], "file string, tokens long, batches int").selectExpr("*", "cast(null as decimal(18,9)) AS cost")
     out = {(r.source, r.lang, r.domain): (r.documents, r.tokens, r.billed_tokens) for r in tokens.token_totals(docs, counts, bills).collect()}
+    assert out["all", "en", "all"] == (2, 12, 6) and out["all", "all", "physics"][0] == 1 and out["lab_manual", "all", "unknown"][0] == 1
     assert out["all", "all", "all"] == (3, 12, 6) and out["lab_manual", "en", "all"] == (2, 12, 6) and out["unknown", "unknown", "unknown"] == (1, 0, 0)
 
 
