@@ -28,8 +28,8 @@ from quirebase.session import materialise, scratch_dir
 #: Counters of the order's statistics: its size is fixed, whatever the corpus.
 COUNTERS = 1 << 22
 _BLOCK = 1 << 16
-#: Postings that one region holds on average, at most; a region is a task of its own.
-POSTINGS_PER_REGION = 200_000
+#: Postings that one region holds on average, at most. More regions take more copies of each text.
+POSTINGS_PER_REGION = 2_000_000
 #: Texts that a task remembers, to post copies once.
 _REMEMBERED = 1_000_000
 
