@@ -48,8 +48,6 @@ class ForestParams:
 
 #: Neighbouring leaves that form a group.
 LEAVES_PER_GROUP = 16
-#: Codes that a task ranks, on average, at most.
-CODES_PER_TASK = 150_000
 #: Copies of one vector that form a ring; larger groups of copies make several.
 RING = 1_000
 
@@ -318,8 +316,9 @@ def nearest(vectors: DataFrame, params: ForestParams = ForestParams()) -> Neighb
     sample = coded.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < share).select("code").limit(wanted).toArrow().column("code").to_pylist()
     if len(sample) < 2:
         sample = coded.select("code").limit(2).toArrow().column("code").to_pylist()
-    forest = spark.sparkContext.broadcast(Forest(decode(sample), count, params))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count * params.probes // 2 // CODES_PER_TASK)
+    grown = Forest(decode(sample), count, params)
+    forest, groups = spark.sparkContext.broadcast(grown), int(grown.offsets[-1]) // LEAVES_PER_GROUP
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups)
     visits = coded.select("rep", "code").mapInArrow(_route(forest), _ROUTED).repartition(tasks, "leaves")
     ranked = visits.groupBy("leaves").applyInArrow(_rank_group(params), "a bigint, b bigint, similarity double")
     if params.mutual:
