@@ -48,6 +48,14 @@ _CAPTION = re.compile(r"^\S+\s+\d+(\.\d+)*[.:]?(\s|$)")
 _LISTED = re.compile(r"^([\divxl]+[.)]|[•*·-])\s")
 
 
+#: The filter of tokens that may need a repair has 2 to the power of it bits (2 MB), merged in blocks of so many bytes.
+FILTER_BITS, _BLOCK = 24, 1 << 15
+
+
+#: Cost of a repair of what the lexicon has as a word, at most.
+DEAREST_OF_A_WORD = 0.5
+
+
 @dataclass(frozen=True)
 class ScanParams:
     seen: int = 5  # times a word must occur to be a candidate
@@ -285,7 +293,7 @@ def _rank(params: ScanParams):
 class Repairs:
     lines: DataFrame  # body lines: file_hash, page_no, line_no, line, before, after
     furniture: DataFrame  # file_hash, page_no, line_no
-    words: DataFrame  # token, word, often, cost: candidates of every misread token
+    words: DataFrame  # token, word, often, cost: candidates of every token that may be misread; own, own_often: what the lexicon has of it as read
     cuts: DataFrame  # first, second, own (the mark belongs to the word), misread, word
     bigrams: DataFrame  # first, second, times
 
@@ -322,11 +330,11 @@ def analyse(pages: DataFrame, params: ScanParams = ScanParams()) -> Repairs:
     near = looked.join(index, "part").select("token", "times", "word", "often").distinct()
     ranked = materialise(near.mapInArrow(_rank(params), "token string, word string, often bigint, cost double"), f"{base}/ranked")
     # what is a word itself stays, unless a far more frequent one is a confusion away
-    fine = ranked.where("cost = 0").groupBy("token").agg(F.max("often").alias("own_often"))
+    fine = ranked.where("cost = 0").groupBy("token").agg(F.max("often").alias("own_often"), F.max_by("word", "often").alias("own"))
     misread = (
         ranked.where("cost > 0").join(fine, "token", "left")
-        .where(F.col("own_often").isNull() | ((F.col("cost") <= 0.5) & (F.col("often") >= params.letters_ratio * F.col("own_often"))))
-        .select("token", "word", "often", "cost")
+        .where(F.col("own_often").isNull() | ((F.col("cost") <= DEAREST_OF_A_WORD) & (F.col("often") >= params.letters_ratio * F.col("own_often"))))
+        .select("token", "word", "often", "cost", "own", "own_often")
     )
     misread = materialise(misread, f"{base}/misread")
     spelled = cuts.withColumn("joined", F.concat(F.expr("substring(first, 1, length(first) - 1)"), "second")).withColumn("marked", F.concat(F.expr("substring(first, 1, length(first) - 1)"), F.lit("-"), "second"))
@@ -345,21 +353,71 @@ def analyse(pages: DataFrame, params: ScanParams = ScanParams()) -> Repairs:
     return Repairs(body, furniture, misread, materialise(spelled, f"{base}/cuts"), bigrams)
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every unit of every line with its neighbours' words."""
-    names = ["file_hash", "page_no", "line_no", "what", "token", "second", "left", "right"]
+def _bit(token: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(token) >> (64 - FILTER_BITS)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bits of tokens, in blocks of the filter."""
+    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
     for batch in batches:
-        out: list[list] = [[] for _ in names]
-        for f, p, n, line, before, after in zip(*(batch.column(c).to_pylist() for c in ("file_hash", "page_no", "line_no", "line", "before", "after"))):
-            units = list(_units(line, before, after))
-            plain = [_plain(t) for _, t, _ in units]
-            for k, (what, token, second) in enumerate(units):
-                if what == "word" and token.isalpha() and len(token) < 3:
+        for token in batch.column("token").to_pylist():
+            at = _bit(token)
+            bits[at >> 3] |= 1 << (at & 7)
+    blocks = bits.reshape(-1, _BLOCK)
+    some = np.flatnonzero(blocks.any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([blocks[k].tobytes() for k in some], pa.binary())], ["block", "bits"])
+
+
+def _either(group: pa.Table) -> pa.Table:
+    total = np.zeros(_BLOCK, np.uint8)
+    for b in group.column("bits"):
+        total |= np.frombuffer(b.as_py(), np.uint8)
+    return pa.table({"block": group.column("block").slice(0, 1), "bits": pa.array([total.tobytes()], pa.binary())})
+
+
+def token_filter(tokens: DataFrame):
+    """A filter of fixed size that every one of the tokens passes, for all tasks; the rare other that passes is told off in a join."""
+    spark = tokens.sparkSession
+    blocks = tokens.select("token").mapInArrow(_mark, "block int, bits binary").groupBy("block").applyInArrow(_either, "block int, bits binary").toArrow()
+    filled = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for block, bits in zip(blocks.column("block").to_pylist(), blocks.column("bits").to_pylist()):
+        filled[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(bits, np.uint8)
+    return spark.sparkContext.broadcast(filled.tobytes())
+
+
+def _occurrences(wanted):
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The units that may need a repair, and cuts, with their neighbours' words."""
+        passes: dict[str, bool] = {}
+        for batch in batches:
+            yield _asked(batch, wanted.value, passes)
+
+    return occurrences
+
+
+def _asked(batch: pa.RecordBatch, bits: bytes, passes: dict[str, bool]) -> pa.RecordBatch:
+    names = ["file_hash", "page_no", "line_no", "what", "token", "second", "left", "right"]
+    out: list[list] = [[] for _ in names]
+    for f, p, n, line, before, after in zip(*(batch.column(c).to_pylist() for c in ("file_hash", "page_no", "line_no", "line", "before", "after"))):
+        units = list(_units(line, before, after))
+        for k, (what, token, second) in enumerate(units):
+            if what == "word":
+                asked = passes.get(token)
+                if asked is None:
+                    if len(passes) > 500_000:
+                        passes.clear()
+                    at = _bit(token)
+                    asked = passes[token] = bool(bits[at >> 3] >> (at & 7) & 1)
+                if not asked:
                     continue
-                for column, value in zip(out, (f, p, n, what, token, second, plain[k - 1] if k else "", plain[k + 1] if k + 1 < len(units) else "")):
-                    column.append(value)
-        kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names)
+            near = (_plain(units[k - 1][1]) if k else "", _plain(units[k + 1][1]) if k + 1 < len(units) else "")
+            for column, value in zip(out, (f, p, n, what, token, second, *near)):
+                column.append(value)
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names)
 
 
 _UNIT = "file_hash string, page_no int, line_no int, what string, token string, second string, left string, right string"
@@ -375,8 +433,8 @@ def line_findings(pages: DataFrame, params: ScanParams = ScanParams()) -> DataFr
     """(file_hash, page_no, line_no, kind) of each line that is furniture, is cut at its end, or holds a misread word."""
     r = analyse(pages, params)
     key = ["file_hash", "page_no", "line_no"]
-    units = r.lines.mapInArrow(_occurrences, _UNIT)
-    misread = units.where("what = 'word'").join(r.words.select("token").distinct(), "token", "left_semi").select(*key, F.lit("misread").alias("kind"))
+    units = materialise(r.lines.mapInArrow(_occurrences(token_filter(r.words)), _UNIT), f"{scratch_dir(pages.sparkSession)}/units")
+    misread = _picked(units, r, key).where("word is not null").select(*key, F.lit("misread").alias("kind"))
     cut = units.where("what = 'cut'").select(*key, F.col("token").alias("first"), "second").join(r.cuts, ["first", "second"])
     hyphen = cut.where("not own").select(*key, F.lit("hyphen").alias("kind"))
     wrong = cut.where("misread and not own")
@@ -388,6 +446,28 @@ def line_findings(pages: DataFrame, params: ScanParams = ScanParams()) -> DataFr
     return r.furniture.select(*key, F.lit("furniture").alias("kind")).unionByName(hyphen).unionByName(misread).unionByName(head).unionByName(tail).distinct()
 
 
+def _picked(units: DataFrame, r: Repairs, key: list[str]) -> DataFrame:
+    """Of every token with candidates, in every line: the word that its neighbours' bigrams, its frequency and its cost pick; null for what was read.
+
+    Each token is decided once with each pair of neighbours. What was read is a
+    candidate too where the lexicon has it. It then bears the dearest cost that
+    a repair of it may have, so that only bigrams speak for it, and those count
+    without the occurrences between the same two neighbours: copies of one
+    sentence don't bear each other out.
+    """
+    asked = units.where("what = 'word'").select(*key, "token", "left", "right")
+    contexts = asked.groupBy("token", "left", "right").agg(F.count("*").alias("same"))
+    own = r.words.where("own_often is not null").select("token", F.col("own").alias("word"), F.col("own_often").alias("often"), F.lit(DEAREST_OF_A_WORD).alias("cost"), F.lit(True).alias("as_read")).distinct()
+    each = contexts.join(r.words.select("token", "word", "often", "cost", F.lit(False).alias("as_read")).unionByName(own), "token")
+    left = r.bigrams.select(F.col("first").alias("left"), F.col("second").alias("word"), F.col("times").alias("left_times"))
+    right = r.bigrams.select(F.col("first").alias("word"), F.col("second").alias("right"), F.col("times").alias("right_times"))
+    mine = F.when(F.col("as_read"), F.col("same")).otherwise(0)
+    support = lambda times: F.log1p(F.greatest(F.coalesce(times, F.lit(0)) - mine, F.lit(0)))
+    scored = each.join(left, ["left", "word"], "left").join(right, ["word", "right"], "left").withColumn("score", support("left_times") + support("right_times") + 0.3 * F.log("often") - 8 * F.col("cost"))
+    picks = scored.groupBy("token", "left", "right").agg(F.max_by(F.when(~F.col("as_read"), F.col("word")), F.struct("score", ~F.col("as_read"), "word")).alias("word"))
+    return asked.join(picks, ["token", "left", "right"]).select(*key, "token", "word").distinct()
+
+
 def _case(read: str, word: str) -> str:
     core = "".join(c for c in read if c.isalpha())
     return word.upper() if len(core) > 1 and core.isupper() else word[:1].upper() + word[1:] if core[:1].isupper() and read[:1].isalpha() else word
@@ -447,14 +527,8 @@ def paragraphs(pages: DataFrame, params: ScanParams = ScanParams()) -> DataFrame
     """
     r = analyse(pages, params)
     key = ["file_hash", "page_no", "line_no"]
-    units = r.lines.mapInArrow(_occurrences, _UNIT)
-    chosen = units.where("what = 'word'").select(*key, "token", "left", "right").join(r.words, "token")
-    left = r.bigrams.select(F.col("first").alias("left"), F.col("second").alias("word"), F.col("times").alias("left_times"))
-    right = r.bigrams.select(F.col("first").alias("word"), F.col("second").alias("right"), F.col("times").alias("right_times"))
-    scored = chosen.join(left, ["left", "word"], "left").join(right, ["word", "right"], "left").withColumn(
-        "score", F.log1p(F.coalesce("left_times", F.lit(0))) + F.log1p(F.coalesce("right_times", F.lit(0))) + 0.3 * F.log("often") - 8 * F.col("cost")
-    )
-    picks = scored.groupBy(*key, "token").agg(F.max_by("word", F.struct("score", "word")).alias("word")).groupBy(*key).agg(F.collect_list(F.array("token", "word")).alias("words"))
+    units = materialise(r.lines.mapInArrow(_occurrences(token_filter(r.words)), _UNIT), f"{scratch_dir(pages.sparkSession)}/units")
+    picks = _picked(units, r, key).where("word is not null").groupBy(*key).agg(F.collect_list(F.array("token", "word")).alias("words"))
     cuts = units.where("what = 'cut'").select(*key, F.col("token").alias("first"), "second").join(r.cuts, ["first", "second"]).select(*key, "own", F.col("word").alias("joined"))
     lines = r.lines.select(*key, "line").join(picks, key, "left").join(cuts, key, "left").withColumn("stretch", F.floor(F.col("page_no") / params.pages))
     return lines.groupBy("file_hash", "stretch").applyInArrow(_paragraphs, "file_hash string, page_no int, paragraph_no int, text string")
