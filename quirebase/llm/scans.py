@@ -482,24 +482,33 @@ def _mend(token: str, word: str) -> str:
 
 
 def _paragraphs(group: pa.Table) -> pa.Table:
-    rows = sorted(zip(*(group.column(c).to_pylist() for c in ("page_no", "line_no", "line", "words", "own", "joined"))), key=lambda r: r[:2])
+    """The paragraphs of one stretch of a file's pages; the first may go on with the last of the stretch before."""
+    rows = sorted(zip(*(group.column(c).to_pylist() for c in ("page_no", "line_no", "line", "words", "own", "joined", "prev_page", "prev_no", "before", "prev_own"))), key=lambda r: r[:2])
     paragraphs: list[list[str]] = []
     starts: list[int] = []
     held: str | None = None  # the first part of a word cut at the end of the line before
     widest = max((len(r[2].rstrip()) for r in rows), default=0)
-    last = None
-    for page, no, line, words, own, joined in rows:
+    stands_apart = lambda line: bool(_LISTED.match(line.strip()) or _CAPTION.match(line.strip()) and len(line) < 0.6 * widest or not any(c.isalpha() for c in line))
+    last, goes_on, glue = None, False, ""
+    if rows and rows[0][6] is not None:
+        _, _, _, _, _, _, prev_page, prev_no, before, prev_own = rows[0]
+        last = (prev_page, prev_no, before.rstrip(), stands_apart(before), None)
+        held = "" if prev_own is not None and before.split() and _cut(before.split()[-1]) else None
+        glue = " " if held is None else ""
+    for page, no, line, words, own, joined, *_ in rows:
         tokens = line.split()
         mends = {t: w for t, w in (words or [])}
-        apart = _LISTED.match(line.strip()) or _CAPTION.match(line.strip()) and len(line) < 0.6 * widest or not any(c.isalpha() for c in line)
+        apart = stands_apart(line)
         fresh = last is None or line[:2].isspace() or apart or last[3]
         if last is not None and not fresh:
             fresh = no > last[1] + 1 if page == last[0] else last[2].endswith((".", "?", "!")) and len(last[2]) < 0.8 * widest
         if held is not None and not apart:
             fresh = False
-        if fresh:
-            if held is not None:
+        goes_on = goes_on or not paragraphs and not fresh
+        if fresh or not paragraphs:
+            if held and paragraphs:
                 paragraphs[-1].append(held)
+            if fresh:
                 held = None
             paragraphs.append([])
             starts.append(page)
@@ -510,25 +519,41 @@ def _paragraphs(group: pa.Table) -> pa.Table:
         if tokens and own is not None and _cut(tokens[-1]):
             held = out.pop()[:-1] + ("-" if own else "")
         paragraphs[-1].extend(out)
-        last = (page, no, line.rstrip(), bool(apart), joined if held is not None and not own else None)
-    if held is not None:
+        last = (page, no, line.rstrip(), apart, joined if held is not None and not own else None)
+    if held and paragraphs:
         paragraphs[-1].append(held)
-    keep = [(p, " ".join(t)) for p, t in zip(starts, paragraphs) if t]
-    name = group.column("file_hash")[0].as_py()
-    return pa.table({"file_hash": pa.array([name] * len(keep), pa.string()), "page_no": pa.array([p for p, _ in keep], pa.int32()), "paragraph_no": pa.array(range(1, len(keep) + 1), pa.int32()), "text": pa.array([t for _, t in keep], pa.string())})
+    keep = [(p, " ".join(t), k == 0 and goes_on) for k, (p, t) in enumerate(zip(starts, paragraphs)) if t]
+    n, first = len(keep), group.slice(0, 1)
+    return pa.table(
+        {
+            "file_hash": pa.array([first.column("file_hash")[0].as_py()] * n, pa.string()),
+            "stretch": pa.array([first.column("stretch")[0].as_py()] * n, pa.int64()),
+            "place": pa.array(range(n), pa.int32()),
+            "page_no": pa.array([p for p, *_ in keep], pa.int32()),
+            "text": pa.array([glue + t if g else t for _, t, g in keep], pa.string()),
+            "goes_on": pa.array([g for *_, g in keep], pa.bool_()),
+        }
+    )
 
 
 def paragraphs(pages: DataFrame, params: ScanParams = ScanParams()) -> DataFrame:
     """(file_hash, page_no, paragraph_no, text): the repaired text of every file in page order.
 
-    ``page_no`` is where a paragraph begins; numbers run on within stretches of
-    ``params.pages`` pages of a file. A blank line, an indent, a list item or a
-    caption begins a paragraph, a page's end alone doesn't.
+    ``page_no`` is where a paragraph begins; ``paragraph_no`` counts from 1 in
+    each file. A blank line, an indent, a list item or a caption begins a
+    paragraph, a page's end alone doesn't. Stretches of ``params.pages`` pages
+    are read each for itself; a paragraph, or a cut word, that goes on in the
+    next one is put together again.
     """
     r = analyse(pages, params)
     key = ["file_hash", "page_no", "line_no"]
     units = materialise(r.lines.mapInArrow(_occurrences(token_filter(r.words)), _UNIT), f"{scratch_dir(pages.sparkSession)}/units")
     picks = _picked(units, r, key).where("word is not null").groupBy(*key).agg(F.collect_list(F.array("token", "word")).alias("words"))
     cuts = units.where("what = 'cut'").select(*key, F.col("token").alias("first"), "second").join(r.cuts, ["first", "second"]).select(*key, "own", F.col("word").alias("joined"))
-    lines = r.lines.select(*key, "line").join(picks, key, "left").join(cuts, key, "left").withColumn("stretch", F.floor(F.col("page_no") / params.pages))
-    return lines.groupBy("file_hash", "stretch").applyInArrow(_paragraphs, "file_hash string, page_no int, paragraph_no int, text string")
+    order = Window.partitionBy("file_hash").orderBy("page_no", "line_no")
+    lines = r.lines.select(*key, "line", "before").join(picks, key, "left").join(cuts, key, "left").withColumn("stretch", F.floor(F.col("page_no") / params.pages))
+    lines = lines.select("*", F.lag("page_no").over(order).alias("prev_page"), F.lag("line_no").over(order).alias("prev_no"), F.lag("own").over(order).alias("prev_own"))
+    parts = lines.groupBy("file_hash", "stretch").applyInArrow(_paragraphs, "file_hash string, stretch bigint, place int, page_no int, text string, goes_on boolean")
+    number = F.sum((~F.col("goes_on")).cast("int")).over(Window.partitionBy("file_hash").orderBy("stretch", "place"))
+    numbered = parts.withColumn("paragraph_no", number.cast("int")).groupBy("file_hash", "paragraph_no").agg(F.min("page_no").alias("page_no"), F.sort_array(F.collect_list(F.struct("stretch", "place", "text"))).alias("parts"))
+    return numbered.select("file_hash", "page_no", "paragraph_no", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"))

@@ -43,6 +43,28 @@ def test_paragraphs(spark):
     assert "mernbrane" not in text and "A short course" not in text and "- 6 -" not in text
 
 
+def test_a_file_of_many_pages_is_one_text(spark):
+    random.seed(8)
+    words = [random.choice(WORDS) for _ in range(20_000)]
+    pages, at = [], 0
+    for p in range(1, 1_101):
+        lines = [" ".join(words[at + 9 * k : at + 9 * k + 9]) for k in range(2)]
+        at += 18
+        if p == 511:
+            lines[-1] += " sum-"
+        if p == 512:
+            lines[0] = "mary " + lines[0]
+        pages.append(("long", p, "\n".join(lines), None))
+    pages += [("other", p, "the summary shows the summary and the summary remains\nsummary again and summary.", None) for p in range(1, 4)]
+    rows = scans.paragraphs(spark.createDataFrame(pages, PAGES)).where("file_hash = 'long'").orderBy("paragraph_no").collect()
+    assert [r.paragraph_no for r in rows] == list(range(1, len(rows) + 1))
+    text = " ".join(r.text for r in rows).split()
+    assert "summary" in text and "sum" not in text and "mary" not in text
+    assert [w for w in text if w != "summary"] == [w for w in words[:at] if w != "summary"]
+    whole = scans.paragraphs(spark.createDataFrame(pages, PAGES), scans.ScanParams(pages=10_000)).where("file_hash = 'long'").orderBy("paragraph_no").collect()
+    assert [r.text for r in whole] == [r.text for r in rows]
+
+
 def test_no_pages(spark):
     none = spark.createDataFrame([], PAGES)
     assert scans.line_findings(none).count() == 0 and scans.paragraphs(none).count() == 0
