@@ -17,7 +17,8 @@ def write_records(records: DataFrame, path: str, by_group: bool = False, mode: s
     commit makes the files visible only when all are written.
     """
     if by_group:
-        records.withColumn("group", F.coalesce("metadata.group_key", F.lit("MISC"))).write.mode(mode).partitionBy("group").json(path)
+        # a group lies in few files, and one that holds most rows isn't one task's
+        records.withColumn("group", F.coalesce("metadata.group_key", F.lit("MISC"))).repartitionByRange("group", "id").write.mode(mode).partitionBy("group").json(path)
     else:
         records.write.mode(mode).json(path)
 
