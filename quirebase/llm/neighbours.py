@@ -1,16 +1,19 @@
 """The most similar vectors of every vector (problem 3).
 
-A forest of random-projection trees is fitted on a bounded sample; every
-vector is indexed in one leaf of each tree. As a query it has one priority
-queue for the nodes of all trees, whose priority is the smallest margin to a
-hyperplane on the way down; it takes the best leaf from it until it has
-visited ``probes`` of them. As a child is never better than its node, these
-are the ``probes`` leaves of the best priority, which are found for many
-queries at once. Neighbouring leaves of a tree form a Spark group, to which a
-vector goes once for all that it visits there; in a leaf the candidates are
-ranked by their cosine, and the best of all leaves remain. A leaf that is far
-larger than wanted, as where the sample can't divide a very large collection
-further, is divided by a tree of its own where it lies.
+Vectors are dealt to overlapping regions of bounded size, each to those whose
+centres are nearest, and both of a pair must stand in one region. As regions
+get narrower the more vectors there are, their number for each vector isn't
+fixed: neighbours drawn at a known similarity must share one often enough.
+
+In a region, which is a Spark task, a forest of random-projection trees is
+fitted on its own vectors, each of which is in one leaf of each tree. As a
+query it has one priority queue for the nodes of all trees, whose priority is
+the smallest margin to a hyperplane on the way down; it takes the best leaf
+from it until it has visited ``probes`` of them. As a child is never better
+than its node, these are the ``probes`` leaves of the best priority, which are
+found for many queries at once. In a leaf the candidates are ranked by their
+cosine, and the best of all leaves and regions remain. A leaf that is far
+larger than wanted is divided by a tree of its own.
 
 Vectors travel as 12-bit fixed-point numbers, which moves a cosine by some
 5e-5. Wherever that could decide, at the last place or at the wanted
@@ -37,17 +40,22 @@ class ForestParams:
     dimension: int = 128
     min_similarity: float = -2.0  # neighbours below it aren't wanted
     trees: int = 3
-    probes: int = 20  # leaves that a vector visits, over all trees
+    probes: int = 20  # leaves that a vector visits, over all trees, where there is one region
     leaf_size: int = 1_500  # vectors
-    sample: int = 200_000  # most vectors that the trees are fitted on
+    one_region: int = 20_000  # most vectors that aren't divided into regions
+    region_size: int = 60_000  # vectors in a region, on average
+    drawn: float = 0.75  # similarity of the neighbours that are drawn to find how many regions a vector needs
+    shared: float = 0.995  # share of them that must have a region in common
+    most_regions: int = 64  # of a vector, should fewer not do
+    sample: int = 200_000  # most vectors that regions and trees are fitted on
     per_leaf: int = 10  # sampled vectors that a leaf needs at least
     mutual: bool = True  # what a query finds is a candidate for both
     unsure: float = 5e-4  # similarities that differ by less are compared by the original numbers
     seed: int = 11
 
 
-#: Neighbouring leaves that form a group.
-LEAVES_PER_GROUP = 16
+#: Fewest regions, so that there are tasks enough, and sampled vectors for each.
+REGIONS, PER_REGION = 24, 40
 #: Copies of one vector that form a ring; larger groups of copies make several.
 RING = 1_000
 
@@ -133,13 +141,16 @@ class Tree:
     def visit(self, vectors: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, leaf, priority) of each visit with a priority of -bound or more; own leaves have a positive one."""
         out = []
+        nodes = [node for node, leaf in enumerate(self.leaf) if leaf < 0]
+        plane = dict(zip(nodes, range(len(nodes))))
+        margins = np.stack([self.planes[node] for node in nodes]) @ vectors.T - np.array([self.at[node] for node in nodes], np.float32)[:, None] if nodes else None
         stack = [(0, np.arange(len(vectors)), np.full(len(vectors), np.inf, np.float32))]
         while stack:
             node, rows, priority = stack.pop()
             if self.leaf[node] >= 0:
                 out.append((rows, np.full(len(rows), self.leaf[node]), priority))
                 continue
-            margin = vectors[rows] @ self.planes[node] - np.float32(self.at[node])
+            margin = margins[plane[node]][rows]
             for child, side in ((self.high[node], margin), (self.low[node], np.where(margin == 0, np.float32(1e-9), -margin))):
                 p = np.minimum(priority, side)
                 keep = np.flatnonzero(p >= -bound)
@@ -154,8 +165,7 @@ class Forest:
         leaves = min(-(-count // params.leaf_size), max(1, len(sample) // params.per_leaf))
         self.probes = params.probes
         self.trees = [Tree(sample, leaves, draw) for _ in range(params.trees if leaves > 1 else 1)]
-        # leaves of a tree begin a group of their own
-        self.offsets = np.cumsum([0] + [-(-t.leaves // LEAVES_PER_GROUP) * LEAVES_PER_GROUP for t in self.trees])
+        self.offsets = np.cumsum([0] + [t.leaves for t in self.trees])
         few = sample[draw.choice(len(sample), min(1_000, len(sample)), replace=False)]
         self.bound = 0.01
         while leaves > 1 and self.bound < 2 and np.median(self._count(few)) < params.probes:
@@ -186,25 +196,68 @@ class Forest:
         return tuple(np.concatenate(x) for x in zip((which[rows[full]], leaves[full], priority[full]), more))
 
 
-_ROUTED = "leaves int, rep bigint, code binary, visits binary"
+class Regions:
+    """Centres among the vectors; a vector belongs to the ``each`` regions whose centres are nearest."""
 
+    def __init__(self, sample: np.ndarray, count: int, params: ForestParams):
+        draw = np.random.default_rng(params.seed)
+        self.centres, self.each = sample[:1], 1
+        if count <= params.one_region:
+            return
+        few = sample[draw.choice(len(sample), min(4_000, len(sample)), replace=False)]
+        aside = draw.normal(size=few.shape).astype(np.float32)
+        aside -= (aside * few).sum(axis=1, keepdims=True) * few
+        # where vectors are dense, all that are wanted are nearer: at least as near as those of the sample
+        kth = [np.partition(few[i : i + 100] @ sample.T, -min(params.k + 1, len(sample)), axis=1)[:, -min(params.k + 1, len(sample))] for i in range(0, min(1_000, len(few)), 100)]
+        drawn = min(0.9999, max(params.drawn, float(np.quantile(np.concatenate(kth), 0.05))))
+        near = drawn * few + np.sqrt(1 - drawn**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+        each = 3
+        while True:
+            regions = min(max(REGIONS, -(-count * each // params.region_size)), len(sample))
+            self.centres, self.each = self._fit(sample, regions, draw), min(each, regions)
+            most = min(2 * each, regions)
+            x, y = self._nearest(few, most), self._nearest(near, most)
+            # from which length on the two lists have a region in common
+            both = np.where(x[:, :, None] == y[:, None, :], np.maximum(np.arange(most)[:, None], np.arange(most)) + 1, most + 1).min(axis=(1, 2))
+            if (both <= self.each).mean() >= params.shared or self.each == regions or each >= params.most_regions:
+                return
+            each = min(params.most_regions, max(each + 1, int(np.quantile(both, params.shared))))
+
+    @staticmethod
+    def _fit(sample: np.ndarray, regions: int, draw: np.random.Generator) -> np.ndarray:
+        centres = sample[draw.choice(len(sample), regions, replace=False)]
+        for _ in range(4):
+            own = np.concatenate([np.argmax(sample[i : i + 4_000] @ centres.T, axis=1) for i in range(0, len(sample), 4_000)])
+            order = np.argsort(own, kind="stable")
+            first = np.flatnonzero(np.r_[True, np.diff(own[order]) > 0])
+            sums = np.add.reduceat(sample[order], first, axis=0)
+            centres[own[order][first]] = sums / (np.linalg.norm(sums, axis=1, keepdims=True) + 1e-9)
+        return centres
+
+    def _nearest(self, vectors: np.ndarray, most: int) -> np.ndarray:
+        out = []
+        for start in range(0, len(vectors), 1_000):
+            s = vectors[start : start + 1_000] @ self.centres.T
+            part = np.argpartition(-s, most - 1, axis=1)[:, :most]
+            out.append(np.take_along_axis(part, np.argsort(-np.take_along_axis(s, part, 1), axis=1), 1))
+        return np.concatenate(out)
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        """The regions of each vector, a row each."""
+        return self._nearest(vectors, self.each)
 
-def _route(forest):
-    """Each vector once for every group of leaves that it visits; a visit is the leaf's number in the group, doubled, and 1 more in its own."""
-    schema = pa.schema([("leaves", pa.int32()), ("rep", pa.int64()), ("code", pa.binary()), ("visits", pa.binary())])
+
+def _route(regions):
+    """Each vector once for every region that it belongs to."""
+    schema = pa.schema([("region", pa.int32()), ("rep", pa.int64()), ("code", pa.binary())])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), 4_000):
                 part = batch.slice(start, 4_000)
-                rows, leaves, own = forest.value.visit(decode(part.column("code").to_pylist()))
-                group, visit = leaves // LEAVES_PER_GROUP, (leaves % LEAVES_PER_GROUP * 2 + own).astype(np.uint8)
-                order = np.lexsort((group, rows))
-                rows, group, visit = rows[order], group[order], visit[order]
-                cut = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (group[1:] != group[:-1])])
-                visits = [visit[a:b].tobytes() for a, b in zip(cut, np.r_[cut[1:], len(visit)])]
-                at = pa.array(rows[cut])
-                yield pa.RecordBatch.from_arrays([pa.array(group[cut].astype(np.int32)), part.column("rep").take(at), part.column("code").take(at), pa.array(visits, pa.binary())], schema=schema)
+                of = regions.value.of(decode(part.column("code").to_pylist()))
+                at = pa.array(np.repeat(np.arange(len(of)), of.shape[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(of.ravel().astype(np.int32)), part.column("rep").take(at), part.column("code").take(at)], schema=schema)
 
     return route
 
@@ -219,7 +272,7 @@ def _best(s: np.ndarray, params: ForestParams) -> tuple[np.ndarray, np.ndarray]:
         only = np.zeros((len(many), s.shape[1]), bool)
         np.put_along_axis(only, best, True, axis=1)
         wanted[many] &= only
-    return np.nonzero(wanted)
+    return np.divmod(np.flatnonzero(wanted), s.shape[1])
 
 
 def _rank_leaf(vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, params: ForestParams, divide: bool = True) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -243,34 +296,55 @@ def _rank_leaf(vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, params: Fo
     step = max(1, min(2_000, 8_000_000 // len(data)))
     for start in range(0, len(ids), step):
         s = vectors[start : start + step] @ vectors[data].T
-        s[ids[start : start + step, None] == ids[data]] = -3
+        s[data[(here := (data >= start) & (data < start + step))] - start, np.flatnonzero(here)] = -3
         row, col = _best(s, params)
         out.append((ids[start + row], ids[data[col]], s[row, col]))
     return out
 
 
-def _rank_group(params: ForestParams):
+def _search(vectors: np.ndarray, ids: np.ndarray, params: ForestParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, neighbour, similarity) of the best of each vector of a region."""
+    draw = np.random.default_rng(params.seed)
+    fitted = min(len(vectors), 20_000, max(8_000, params.per_leaf * -(-len(vectors) // params.leaf_size)))
+    forest = Forest(vectors[draw.choice(len(vectors), fitted, replace=False)], len(vectors), params)
+    step = 20_000
+    visits = [(rows + i, leaves, own) for i in range(0, len(vectors), step) for rows, leaves, own in [forest.visit(vectors[i : i + step])]]
+    rows, leaves, own = (np.concatenate(x) for x in zip(*visits))
+    order = np.argsort(leaves, kind="stable")
+    rows, leaves, own = rows[order], leaves[order], own[order]
+    found = []
+    for at in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(leaves)) + 1):
+        found += _rank_leaf(vectors[rows[at]], rows[at], own[at], params)
+    join = lambda k, kind: np.concatenate([f[k] for f in found]).astype(kind) if found else np.array([], kind)
+    a, b, similarity = join(0, np.int64), join(1, np.int64), join(2, np.float32)
+    if params.mutual:
+        a, b, similarity = np.r_[a, b], np.r_[b, a], np.r_[similarity, similarity]
+    # a pair may meet in several leaves
+    _, fresh = np.unique(a * len(ids) + b, return_index=True)
+    a, b, similarity = a[fresh], b[fresh], similarity[fresh]
+    order = np.lexsort((b, -similarity, a))
+    a, b, similarity = a[order], b[order], similarity[order]
+    keep = np.arange(len(a)) - np.searchsorted(a, a) < params.k + 2
+    return ids[a[keep]], ids[b[keep]], similarity[keep].astype(np.float64)
+
+
+def _rank_region(params: ForestParams):
     def rank(group: pa.Table) -> pa.Table:
-        ids = group.column("rep").to_numpy()
-        vectors = decode(group.column("code").to_pylist())
-        visits = group.column("visits").to_pylist()
-        row = np.repeat(np.arange(len(ids)), [len(v) for v in visits])
-        visit = np.frombuffer(b"".join(visits), np.uint8)
-        found = []
-        for leaf in range(LEAVES_PER_GROUP):
-            at = np.flatnonzero(visit >> 1 == leaf)
-            found += _rank_leaf(vectors[row[at]], ids[row[at]], (visit[at] & 1).astype(bool), params)
-        join = lambda k, kind: np.concatenate([f[k] for f in found]).astype(kind) if found else np.array([], kind)
-        a, b, similarity = join(0, np.int64), join(1, np.int64), join(2, np.float64)
-        # a pair may meet in several leaves of a group
-        order = np.lexsort((b, a))
-        a, b, similarity = a[order], b[order], similarity[order]
-        fresh = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.array([], bool)
-        return pa.table({"a": pa.array(a[fresh], pa.int64()), "b": pa.array(b[fresh], pa.int64()), "similarity": pa.array(similarity[fresh])})
+        ids, codes = group.column("rep").to_numpy(), group.column("code").to_pylist()
+        vectors = np.concatenate([decode(codes[i : i + 8_000]) for i in range(0, len(codes), 8_000)])
+        a, b, similarity = _search(vectors, ids, params)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(similarity)})
 
     return rank
 
 
+def in_regions(params: ForestParams, each: int) -> ForestParams:
+    """The forest of one of the ``each`` regions of a vector; a pair shares several, so that more and smaller leaves are cheaper than more probes."""
+    if each == 1:
+        return params
+    return ForestParams(**{**params.__dict__, "trees": 2 * params.trees, "probes": max(2, params.probes * 3 // 4), "leaf_size": max(50, params.leaf_size // 3)})
+
+
 def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cosines of pairs by their original numbers."""
     for batch in batches:
@@ -311,19 +385,16 @@ def nearest(vectors: DataFrame, params: ForestParams = ForestParams()) -> Neighb
     if not count:
         empty = spark.createDataFrame([], "a bigint, b bigint, similarity double, a_copies bigint, b_copies bigint, place int")
         return Neighbours(empty, members)
-    wanted = min(params.sample, max(20_000, params.per_leaf * -(-count // params.leaf_size)))
+    wanted = min(params.sample, max(20_000, PER_REGION * 10 * -(-count // params.region_size)))
     share = int(min(1.0, 1.2 * wanted / count) * (1 << 30))
     sample = coded.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < share).select("code").limit(wanted).toArrow().column("code").to_pylist()
     if len(sample) < 2:
         sample = coded.select("code").limit(2).toArrow().column("code").to_pylist()
-    grown = Forest(decode(sample), count, params)
-    forest, groups = spark.sparkContext.broadcast(grown), int(grown.offsets[-1]) // LEAVES_PER_GROUP
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups)
-    visits = coded.select("rep", "code").mapInArrow(_route(forest), _ROUTED).repartition(tasks, "leaves")
-    ranked = visits.groupBy("leaves").applyInArrow(_rank_group(params), "a bigint, b bigint, similarity double")
-    if params.mutual:
-        ranked = materialise(ranked, f"{base}/ranked")
-    ranked = ranked.unionAll(ranked.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")) if params.mutual else ranked
+    grown = Regions(decode(sample), count, params)
+    regions = spark.sparkContext.broadcast(grown)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(grown.centres))
+    routed = coded.select("rep", "code").mapInArrow(_route(regions), "region int, rep bigint, code binary").repartition(tasks, "region")
+    ranked = routed.groupBy("region").applyInArrow(_rank_region(in_regions(params, grown.each)), "a bigint, b bigint, similarity double")
     by_a = Window.partitionBy("a")
     best = by_a.orderBy(F.desc("similarity"), "b")
     placed = ranked.groupBy("a", "b").agg(F.max("similarity").alias("similarity")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= params.k + 2)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 pytest.importorskip("quirebase.llm")
 from quirebase.llm.history import History, HistoryParams, arrivals, chunk_rows, repeated_arrivals  # noqa: E402
 from quirebase.llm.leaks import LeakParams, edits_within, find_leaks, near_leaks  # noqa: E402
-from quirebase.llm.neighbours import Forest, ForestParams, decode, encode, neighbour_rows, similar_pairs  # noqa: E402
+from quirebase.llm.neighbours import Forest, ForestParams, Regions, decode, encode, neighbour_rows, similar_pairs  # noqa: E402
 from quirebase.llm.versions import VersionParams, version_groups, version_pairs  # noqa: E402
 from quirebase.llm.words import words_of  # noqa: E402
 
@@ -69,6 +69,38 @@ def test_a_queue_takes_the_best_leaves_of_all_trees():
         assert sorted(priority[leaf] for leaf in leaves[rows == r].tolist()) == sorted(p for p, _ in ranked[:6])
 
 
+def test_few_pairs_are_missed_in_a_table_of_many_leaves(spark):
+    v = clustered(24_000, 32, 6)
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    wanted = set()
+    for start in range(0, len(u), 2_000):
+        s = u[start : start + 2_000] @ u.T
+        s[np.arange(len(s)), start + np.arange(len(s))] = -2
+        top = np.argpartition(-s, 9, axis=1)[:, :10]
+        row, col = np.nonzero(np.take_along_axis(s, top, 1) >= 0.7)
+        wanted |= {(min(a, b), max(a, b)) for a, b in zip((start + row).tolist(), top[row, col].tolist())}
+    table = spark.createDataFrame(pa.table({"vec_id": np.arange(len(v)), "embedding": pa.array(list(v))}))
+    got = {(r.vec_id_a, r.vec_id_b) for r in similar_pairs(table, 0.7, ForestParams(dimension=32, leaf_size=30)).collect()}
+    assert len(wanted & got) / len(wanted) >= 0.985
+    assert len(wanted & got) / len(got) >= 0.985
+
+
+def test_a_vector_belongs_to_more_regions_in_a_larger_table():
+    v = clustered(20_000, 64, 7)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    few, many = Regions(v, 100_000, ForestParams()), Regions(v, 3_000_000, ForestParams())
+    assert Regions(v, 20_000, ForestParams()).each == 1 < few.each < many.each
+    assert len(many.centres) * 60_000 >= 3_000_000 * many.each
+    draw = np.random.default_rng(8)
+    near = v[:2_000] + 0.8 * draw.normal(size=(2_000, 64)).astype(np.float32) / 8
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    x, y = many.of(v[:2_000]), many.of(near)
+    assert (x[:, :, None] == y[:, None, :]).any(axis=(1, 2)).mean() >= 0.98
+    flat = np.zeros_like(v)
+    flat[:, :2] = draw.normal(size=(len(v), 2))
+    assert Regions(flat / np.linalg.norm(flat, axis=1, keepdims=True), 3_000_000, ForestParams()).each < 10
+
+
 def test_similar_pairs_with_copies_and_unusable(spark):
     v = clustered(300, 8, 3)
     rows = [(i, x.tolist(), None, 0) for i, x in enumerate(v)]
