@@ -1,6 +1,8 @@
 """Neighbours, versions, history and leaks against brute force."""
 
+import os
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -13,7 +15,7 @@ from quirebase.llm.history import History, HistoryParams, arrivals, chunk_rows,
 from quirebase.llm.leaks import LeakParams, edits_within, find_leaks, near_leaks  # noqa: E402
 from quirebase.llm.neighbours import Forest, ForestParams, Regions, decode, encode, neighbour_rows, similar_pairs  # noqa: E402
 from quirebase.llm.versions import VersionParams, version_groups, version_pairs  # noqa: E402
-from quirebase.llm.words import words_of  # noqa: E402
+from quirebase.llm.words import WORD, words_of  # noqa: E402
 
 VECTORS = "vec_id long, embedding array<float>, rep string, key int"
 
@@ -174,6 +176,78 @@ def test_copies_of_a_text_are_posted_once(spark):
     assert {(r.hash_a, r.hash_b) for r in version_pairs(table, VersionParams(3, 0.6)).collect()} == {("a", "b"), ("a", "c"), ("b", "c")}
 
 
+def test_words_of_many_texts_are_those_of_each():
+    from quirebase.llm import versions
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    draw = random.Random(1)
+    texts = [None, "", "_", "a_b c", "\u00e9", "\U0001d400", every, *(every[c : c + 997] for c in range(0, len(every), 997))]
+    texts += ["".join(draw.choice("abÉ_ \n\tΣσςİıKx数９²½😀𝐀ａ'’-·̈‍\x00\x1c\x85 ") for _ in range(draw.randint(0, 60))) for _ in range(200)]
+    for some in (texts, [], [None], ["", "x"], ["plain words", None, "x_y"]):
+        index, words, sizes = versions._split(some)
+        ends = np.cumsum([0, *sizes]).tolist()
+        found = [words[i] for i in index]
+        assert [found[a:b] for a, b in zip(ends, ends[1:])] == [WORD.findall(x or "") for x in some]
+    for k in (1, 3):
+        owner, h = versions.Shingler(VersionParams(k, 0.6))(texts)
+        assert np.bincount(owner, minlength=len(texts)).tolist() == [len(set(zip(*(words_of(x)[i:] for i in range(k))))) for x in texts]
+        assert ((owner[1:] > owner[:-1]) | (h[1:] > h[:-1])).all()
+
+
+def test_shingles_of_a_text_cost_less_than_its_words_one_by_one():
+    from quirebase.llm import versions
+
+    draw = random.Random(2)
+    vocabulary = [f"{draw.choice(['soil', 'Größe', 'naïve', 'tray'])}{k}" for k in range(3_000)]
+    texts = [", ".join(draw.choice(vocabulary) for _ in range(120)) for _ in range(1_200)]
+    shingle = versions.Shingler(VersionParams(3, 0.6))
+
+    def seconds(work):
+        def once():
+            start = time.process_time()
+            work()
+            return time.process_time() - start
+
+        return min(once() for _ in range(5))
+
+    assert seconds(lambda: shingle(texts)) < 1.3 * seconds(lambda: [WORD.findall(x) for x in texts])
+
+
+def test_a_posting_meets_those_of_a_size_alone_that_may_be_similar(spark, monkeypatch):
+    from quirebase.llm import versions
+
+    class Counting:
+        longest = 0
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def repeat(self, *args):
+            out = np.repeat(*args)
+            self.longest += len(out)
+            return out
+
+    n = 1_000
+    size = np.unique(np.geomspace(10, 1e8, n).astype(np.int64))
+    raw = lambda x: pa.array([int(v).to_bytes(4, "little") for v in x], pa.binary())
+    group = pa.table({"region": pa.array([0] * len(size), pa.int32()), "id": pa.array(np.arange(len(size))), "size": pa.array(size, pa.int32()), "signature": pa.array([bytes(32)] * len(size), pa.binary()), "tokens": raw([7] * len(size)), "places": raw(size // 10)})
+    counting = Counting()
+    monkeypatch.setattr(versions, "np", counting)
+    pairs = versions._join_region(VersionParams(3, 0.6))(group).to_pydict()
+    wanted = {(i, j) for i in range(len(size)) for j in range(i + 1, len(size)) if size[i] >= 0.6 * size[j] and min(size[i] - size[i] // 10, size[j] - size[j] // 10) >= 0.375 * (size[i] + size[j]) - 1e-9}
+    assert wanted and set(zip(pairs["a"], pairs["b"])) == wanted and len(pairs["a"]) == len(wanted)
+    assert counting.longest <= 3 * len(wanted) + 2 * len(size) < len(size) ** 2 / 4
+
+
+def test_the_order_of_shingles_leaves_the_executors_disks(spark, monkeypatch):
+    given, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: given.append(broadcast(self, value)) or given[-1])
+    table = spark.createDataFrame([("a", "w1 w2 w3 w4 w5 w6"), ("b", "w1 w2 w3 w4 w5 w6 w7")], "chunk_hash string, text string")
+    found = version_pairs(table, VersionParams(3, 0.6))
+    assert given and not any(os.path.exists(x._path) for x in given)
+    assert [(r.hash_a, r.hash_b) for r in found.collect()] == [("a", "b")]
+
+
 def test_a_long_chain_of_versions_is_one_group(spark):
     hashes = [f"h{k:03}" for k in range(300)]
     random.Random(0).shuffle(hashes)
